@@ -1,6 +1,7 @@
 """The registered queries of this package and, where SQL can express them, their SQL."""
 
 from weftline.llm.bpe import op2_bpe
+from weftline.llm.embedding_dedup import OP5_SQL, op5_embedding_near_dedup
 from weftline.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from weftline.llm.langid import op1_language_id
 from weftline.llm.license_scan import OP7_SQL, op7_license_scan
@@ -11,6 +12,7 @@ from weftline.llm.toxicity import op6_toxicity
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_bpe": op2_bpe,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_license_scan": op7_license_scan,
     "op8_simhash_near_dedup": op8_simhash,
@@ -19,6 +21,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op5_embedding_near_dedup": OP5_SQL,
     "op7_license_scan": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
