@@ -5,6 +5,7 @@ from weftline.llm.embedding_dedup import OP5_SQL, op5_embedding_near_dedup
 from weftline.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from weftline.llm.langid import op1_language_id
 from weftline.llm.license_scan import OP7_SQL, op7_license_scan
+from weftline.llm.lm_score import op4_lm_score
 from weftline.llm.mixing import op10_mixing
 from weftline.llm.simhash import op8_simhash
 from weftline.llm.toxicity import op6_toxicity
@@ -12,6 +13,7 @@ from weftline.llm.toxicity import op6_toxicity
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_bpe": op2_bpe,
+    "op4_lm_score": op4_lm_score,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_license_scan": op7_license_scan,
