@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from weftline.operators import components
 from weftline.operators.components import connected_components
 from weftline.operators.skew import deal, with_totals
 
@@ -30,6 +31,13 @@ def test_components_match_union_find(spark):
     assert got == brute(edges)
 
 
+def test_components_with_hot_nodes(spark, monkeypatch):
+    monkeypatch.setattr(components, "HOT_EDGES", 3)
+    edges = [(1000, i) for i in range(40)] + [(i, i + 1) for i in range(50, 70)] + [(i % 7 + 80, i) for i in range(100, 150)] + [(5, 60)]
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == brute(edges)
+
+
 def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 

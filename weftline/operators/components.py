@@ -7,30 +7,37 @@ from pyspark.sql import functions as F
 
 from weftline.session import cut
 
-SALTS = 64
+#: A node is hot above this many edges, or above the share of all edge ends that would make
+#: more than so many nodes hot; the hot nodes are few by construction and so can be broadcast.
+HOT_EDGES, MOST_HOT = 2000, 5000
 
 
-def _with_least(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) with ``m``, the least of u and all its v. A node's edges are reduced by salt
-    first and get the result back by salt, so a node with very many edges fills no single task."""
-    salted = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).repartition("u", "s")
-    partial = salted.groupBy("u", "s").agg(F.min("v").alias("m"))
-    total = partial.groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"))
-    back = partial.select("u", "s").join(total, "u")
-    return salted.join(back, ["u", "s"]).drop("s")
+def _with_least(edges: DataFrame, limit: int) -> DataFrame:
+    """Edges (u, v) with ``m``, the least of u and all its v. Edges of nodes with more than
+    ``limit`` edges don't meet in a task; they get the result by broadcast."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("m", "u").alias("m"), "n")
+    hot = F.broadcast(least.where(F.col("n") > limit).select("u", "m"))
+    cold = edges.join(hot.select("u"), "u", "left_anti").join(least.select("u", "m"), "u")
+    return cold.unionByName(edges.join(hot, "u"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, limit: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return _with_least(both, limit).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = _with_least(down)
+def _small_star(edges: DataFrame, limit: int) -> DataFrame:
+    least = _with_least(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), limit)
     return least.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Each edge leads from a node with no other edge to the least of its component."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    odd = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1")
+    return odd.isEmpty()
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of an undirected edge list; the component is its least node.
 
@@ -41,13 +48,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     given = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
     loops = given.where("u = v").select(F.col("u").alias("node"))
     now = cut(given.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    mark = None
     for _ in range(max_rounds):
-        now = cut(_small_star(_large_star(now)))
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == mark:
+        if _settled(now):
             break
-        mark = seen
+        limit = max(HOT_EDGES, 2 * now.count() // MOST_HOT)
+        now = cut(_small_star(_large_star(now, limit), limit))
     else:
         raise RuntimeError(f"components did not settle within {max_rounds} rounds")
     found = now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
