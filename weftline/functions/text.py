@@ -111,7 +111,7 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
 #: Rules of the original Metaphone, tried in order at each letter: letter, what must follow the
 #: place and what must precede it (patterns; empty: anything), the code, the letters used.
 _RULES = [
-    ("A", "", r"^", "A", 1), ("E", "", r"^", "E", 1), ("I", "", r"^", "I", 1), ("O", "", r"^", "O", 1), ("U", "", r"^", "U", 1),
+    ("A", "", r"^$", "A", 1), ("E", "", r"^$", "E", 1), ("I", "", r"^$", "I", 1), ("O", "", r"^$", "O", 1), ("U", "", r"^$", "U", 1),
     ("B", r"$", r"M$", "", 1), ("B", "", "", "B", 1),
     ("C", "IA", "", "X", 1), ("C", "H", r"S$", "K", 2), ("C", "H", "", "X", 2), ("C", "[EIY]", r"S$", "", 1), ("C", "[EIY]", "", "S", 1), ("C", "", "", "K", 1),
     ("D", "G[EIY]", "", "J", 2), ("D", "", "", "T", 1),
@@ -122,7 +122,7 @@ _RULES = [
     ("P", "H", "", "F", 2), ("P", "", "", "P", 1), ("Q", "", "", "K", 1), ("R", "", "", "R", 1),
     ("S", "H", "", "X", 2), ("S", "I[AO]", "", "X", 1), ("S", "", "", "S", 1),
     ("T", "I[AO]", "", "X", 1), ("T", "H", "", "0", 2), ("T", "CH", "", "", 1), ("T", "", "", "T", 1),
-    ("V", "", "", "F", 1), ("W", "[AEIOU]", "", "W", 1), ("X", "", r"^", "S", 1), ("X", "", "", "KS", 1), ("Y", "[AEIOU]", "", "Y", 1), ("Z", "", "", "S", 1),
+    ("V", "", "", "F", 1), ("W", "[AEIOU]", "", "W", 1), ("X", "", r"^$", "S", 1), ("X", "", "", "KS", 1), ("Y", "[AEIOU]", "", "Y", 1), ("Z", "", "", "S", 1),
 ]
 _BY_LETTER: dict[str, list] = {}
 for _letter, _next, _before, _code, _used in _RULES:

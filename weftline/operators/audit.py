@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from weftline.config import Thresholds
 
-MERGED = F.col("decision") == "MERGE"
 
+def merged() -> Column:
+    """The decision is to merge."""
+    return F.col("decision") == "MERGE"
 
-def pair_id(a: Column = None, b: Column = None) -> Column:
-    return F.concat_ws("_", F.col("record_id_1") if a is None else a, F.col("record_id_2") if b is None else b)
+
+def pair_id() -> Column:
+    return F.concat_ws("_", "record_id_1", "record_id_2")
 
 
 def audit_candidates(hybrid: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
@@ -68,7 +71,7 @@ def training_data(log: DataFrame, least: int = 100) -> DataFrame:
     enough = log.limit(least).count() >= least
     rows = log if enough else log.limit(0)
     return rows.select(
-        "pair_id", "record_id_1", "record_id_2", F.when(MERGED, 1).otherwise(0).alias("label"), "hybrid_score", "deterministic_score", "ml_probability", "reviewer", "timestamp",
+        "pair_id", "record_id_1", "record_id_2", F.when(merged(), 1).otherwise(0).alias("label"), "hybrid_score", "deterministic_score", "ml_probability", "reviewer", "timestamp",
         (F.col("hybrid_score") - F.col("deterministic_score")).alias("score_diff"), (F.col("hybrid_score") >= 0.9).cast("int").alias("high_confidence"), (F.col("hybrid_score") <= 0.1).cast("int").alias("low_confidence"),
     )
 
@@ -86,7 +89,7 @@ def share(part: Column, whole: Column) -> Column:
 
 def audit_metrics(log: DataFrame) -> DataFrame:
     """One row: reviews, merges, rejects, and the share of merges."""
-    return log.agg(F.count("*").alias("total_reviews"), F.count_if(MERGED).alias("merge_count"), F.count_if(F.col("decision") == "REJECT").alias("reject_count"), F.coalesce(F.try_divide(F.count_if(MERGED).cast("double"), F.count("*")), F.lit(0.0)).alias("merge_rate"))
+    return log.agg(F.count("*").alias("total_reviews"), F.count_if(merged()).alias("merge_count"), F.count_if(F.col("decision") == "REJECT").alias("reject_count"), F.coalesce(F.try_divide(F.count_if(merged()).cast("double"), F.count("*")), F.lit(0.0)).alias("merge_rate"))
 
 
 def queue_stats(queue: DataFrame) -> DataFrame:
@@ -94,12 +97,12 @@ def queue_stats(queue: DataFrame) -> DataFrame:
 
 
 def reviewer_performance(log: DataFrame) -> DataFrame:
-    return log.groupBy("reviewer").agg(F.count("*").alias("reviews_completed"), F.avg("processing_time").alias("avg_processing_time"), share(F.count_if(MERGED), F.count("*")).alias("merge_rate"), F.min("timestamp").alias("first_review"), F.max("timestamp").alias("last_review"))
+    return log.groupBy("reviewer").agg(F.count("*").alias("reviews_completed"), F.avg("processing_time").alias("avg_processing_time"), share(F.count_if(merged()), F.count("*")).alias("merge_rate"), F.min("timestamp").alias("first_review"), F.max("timestamp").alias("last_review"))
 
 
 def review_statistics(log: DataFrame) -> DataFrame:
     """By day and decision: reviews, average time, share of merges among the group."""
-    return log.groupBy(F.to_date("timestamp").alias("review_date"), "decision").agg(F.count("*").alias("review_count"), F.avg("processing_time").alias("avg_processing_time"), share(F.count_if(MERGED), F.count("*")).alias("merge_rate"))
+    return log.groupBy(F.to_date("timestamp").alias("review_date"), "decision").agg(F.count("*").alias("review_count"), F.avg("processing_time").alias("avg_processing_time"), share(F.count_if(merged()), F.count("*")).alias("merge_rate"))
 
 
 def decision_shares(log: DataFrame) -> DataFrame:
