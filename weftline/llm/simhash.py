@@ -74,11 +74,11 @@ def unary(fp: np.ndarray) -> np.ndarray:
 
 
 def block_count(n: int, max_bits: int) -> int:
-    """The fewest blocks with at most 64 expected strangers per fingerprint, over all its cells."""
+    """The fewest blocks with at most one expected stranger per fingerprint, over all its cells."""
     per_segment = 1.415  # bits of collision entropy of a two-bit segment's count
     for k in range(max_bits + 2, SEGMENTS + 1):
         keys = comb(k, max_bits)
-        if keys * n / 2 ** (per_segment * SEGMENTS * (k - max_bits) / k) <= 64:
+        if keys * n / 2 ** (per_segment * SEGMENTS * (k - max_bits) / k) <= 1:
             return k
     return SEGMENTS
 
@@ -108,11 +108,11 @@ def _forest(fp: np.ndarray, code: np.ndarray, max_bits: int) -> list[tuple[int,
 
 
 def _cell_links(batches, max_bits: int, small: int = 8):
-    """Links from rows (cell, tile_i, tile_j, s, fp) sorted by cell; a cell may span batches."""
+    """Links from rows (cell, fp) sorted by cell; a cell may span batches."""
 
     def links(keys, fp):
         new = np.ones(len(fp), bool)
-        new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+        new[1:] = keys[1:] != keys[:-1]
         first = np.flatnonzero(new)
         size = np.diff(np.append(first, len(fp)))
         code, src, dst = unary(fp), [], []
@@ -132,40 +132,44 @@ def _cell_links(batches, max_bits: int, small: int = 8):
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["src", "dst"])
 
-    held_k, held_f = np.empty((0, 4), np.int64), np.empty(0, np.uint64)
+    held_k, held_f = np.empty(0, np.int64), np.empty(0, np.uint64)
     for b in batches:
-        keys = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("s", "cell", "tile_i", "tile_j")], axis=1)
-        held_k = np.concatenate([held_k, keys])
-        held_f = np.concatenate([held_f, b.column("fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)])
-        if not len(held_f):
-            continue
+        held_k = np.concatenate([held_k, b.column("cell").to_numpy()])
+        held_f = np.concatenate([held_f, b.column("fp").to_numpy().view(np.uint64)])
         # the last cell may go on in the next batch
-        cut_at = int(np.flatnonzero((held_k != held_k[-1]).any(axis=1))[-1]) + 1 if (held_k != held_k[-1]).any() else 0
-        if cut_at:
-            yield links(held_k[:cut_at], held_f[:cut_at])
-            held_k, held_f = held_k[cut_at:], held_f[cut_at:]
+        end = int(np.searchsorted(held_k, held_k[-1])) if len(held_k) else 0
+        if end:
+            yield links(held_k[:end], held_f[:end])
+            held_k, held_f = held_k[end:], held_f[end:]
     if len(held_f):
         yield links(held_k, held_f)
 
 
-def near_links(fps: DataFrame, max_bits: int = 3, tile: int = 4096) -> DataFrame:
+def near_links(fps: DataFrame, max_bits: int = 3, tile: int = 4096, most_hot: int = 20_000) -> DataFrame:
     """Links (src, dst) that span every component of fingerprints within ``max_bits`` bits.
 
-    ``fps`` holds distinct fingerprints in the column fp. A tile pair holds about 2 * ``tile``
-    of them; a cell of m fingerprints makes m / tile copies of each of its rows.
+    ``fps`` holds distinct fingerprints in the column fp. Cells that a 1-in-``sampled`` sample of
+    the fingerprints shows to be hot are cut into chunks of about ``tile``; a tile holds two of
+    them, so a cell of m fingerprints makes m / tile copies of each of its rows. Few cells can be
+    hot, so they are broadcast; whether a cell is called hot never changes the components.
     """
-    k = block_count(fps.count(), max_bits)
-    masks = block_masks(k, max_bits)
+    n = fps.count()
+    k = block_count(n, max_bits)
+    masks = [m - (1 << 64) if m >> 63 else m for m in block_masks(k, max_bits)]
     code = F.expr(f"(fp | shiftrightunsigned(fp, 1)) & {EVEN}L | shiftleft(fp & shiftrightunsigned(fp, 1) & {EVEN}L, 1)")
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    cells = fps.select("fp", code.alias("code")).select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("s"), F.expr(f"code & ({m}L)" if m > -(1 << 63) else "code & bigint('-9223372036854775808')").alias("cell")) for i, m in enumerate(signed)])).alias("c")).select("c.s", "c.cell", "fp")
-    sized = with_totals(deal(cells, ["s", "cell"], F.xxhash64("fp", F.lit(5)), 16, 16), ["s", "cell"], {"n": (F.count("*"), F.sum)}, 16, 16).where("n > 1")
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("n") / tile)).cast("int")
-    own = sized.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("fp", F.lit(6)), F.col("chunks")).cast("int"))
-    # one chunk: tile (0, 0); else a tile for every pair of different chunks
-    other = F.when(F.col("chunks") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda x: x != F.col("own")))
-    tiles = own.withColumn("other", F.explode(other)).select("s", "cell", F.least("own", "other").alias("tile_i"), F.greatest("own", "other").alias("tile_j"), "fp")
-    dealt = tiles.repartition("s", "cell", "tile_i", "tile_j").sortWithinPartitions("s", "cell", "tile_i", "tile_j", "fp")
+    # a cell's key; cells that share a key by chance only meet candidates more
+    keys = F.array(*[F.xxhash64(F.lit(i), F.col("code").bitwiseAND(F.lit(m))) for i, m in enumerate(masks)])
+    cells = fps.select("fp", code.alias("code")).select("fp", F.explode(keys).alias("cell"))
+    sampled = 16 if tile >= 64 else 1
+    limit = max(tile, len(masks) * n // most_hot)
+    part = cells.where(F.pmod(F.xxhash64("fp", F.lit(5)), F.lit(sampled)) == 0)
+    hot = part.groupBy("cell").agg((F.count("*") * sampled).alias("n")).where(F.col("n") > limit).select("cell", F.ceil(F.col("n") / tile).cast("int").alias("chunks"))
+    known = cells.join(F.broadcast(hot), "cell", "left").withColumn("own", F.pmod(F.xxhash64("fp", F.lit(6)), F.col("chunks")).cast("int"))
+    # a hot cell's chunk meets each other chunk in a tile of their own
+    other = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda x: x != F.col("own"))
+    tiles = F.transform(other, lambda x: F.xxhash64("cell", F.least("own", x), F.greatest("own", x)))
+    rows = known.select(F.explode(F.when(F.col("chunks") > 1, tiles).otherwise(F.array("cell"))).alias("cell"), "fp")
+    dealt = rows.repartition("cell").sortWithinPartitions("cell", "fp")
     return dealt.mapInArrow(lambda it: _cell_links(it, max_bits), "src long, dst long").distinct()
 
 
