@@ -4,10 +4,12 @@ decorated, variant 2 has a typing error. The SQL does the same for DuckDB."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from weftline.functions import fixed_values as V
+from weftline.session import prepare
 
 FIRST = "John Jane Robert Mary Zoe Ivan Carlos Wei Aisha Peter Susan Omar Linda Hugo Nina Paul".split()
 LAST = "Smith Johnson Garcia Ashcraft Pfister Tymczak Nguyen Okafor Brown-Lee Walsh Schmidt Kowalski Haddad Ito Fraser Mbeki".split()
@@ -17,6 +19,7 @@ PLACES = ["Baltimore, MD 21287", "Rochester, MN 55905", "Cleveland, OH 44195", "
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -46,8 +49,6 @@ PROVIDERS_SQL = _statement(lambda values, at: f"([{_words(values)}])[1 + {at}]",
 
 
 def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import re
-
     said = _statement(lambda values, at: f"element_at(array({_words(values)}), cast(1 + {at} AS int))", "{customers}")
     return spark.sql(re.sub(r"\((e) // (\d+)\)", r"(\1 div \2)", said), customers=table(spark, sf_dir, "customer").select("c_custkey"))
 
