@@ -33,9 +33,9 @@ def test_bpe_single_and_many_trees_agree():
     assert CODEC.decode(CODEC.merge(long)) == long.decode()
 
 
-def test_bpe_forgets_but_stays_right(monkeypatch):
+def test_bpe_forgets_but_stays_right():
     small = bpe.Codec(PATH)
-    small.known, small.pieces = bpe.Recent(3), bpe.Recent(2)
+    small.known, small.pieces = bpe.Recent(3), bpe.Recent(2)  # far fewer than the words
     for t in ["one two three four", "two three five", "one six", "one two three four"]:
         assert small.encode(t) == THEIRS.encode(t, add_special_tokens=False).ids
 
@@ -58,7 +58,7 @@ def test_block_max_index_is_exact():
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(30)]
     rows = [(i, i % 2, " ".join(rng.choice(vocabulary[:20] if i % 2 else vocabulary[10:]) for _ in range(rng.randrange(3, 12))) + f" u{i}") for i in range(400)]
-    index = toxicity.fit(rows, {0: 200, 1: 200}, k=7, least_chi2=0.0)
+    index = toxicity.fit(rows, {0: 200, 1: 200}, k=7, least_chi2=0.0, least_phi2=0.0)
     for _ in range(50):
         counts = Counter(rng.choice(range(len(index.terms))) for _ in range(rng.randrange(1, 9)))
         q = np.zeros(len(index.terms))
@@ -89,7 +89,7 @@ def test_toxicity_edges(spark):
     rows = toxicity.toxicity_scores(docs, few).collect()
     assert [r.predicted for r in rows] == [1, 0, 0, 1, 0, 1] and rows[0].evidence
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (9, None), (2, 0)], "doc_id long, toxic int")
-    assert sorted((r.id, r.label) for r in toxicity.labelled_rows(docs, labels).collect()) == [(1, 1), (1, 1), (2, 0)]
+    assert sorted((r.id, r.label) for r in toxicity.labelled_ids(docs, labels).collect()) == [(1, 1), (1, 1), (2, 0)]
     assert toxicity.drop_toxic(docs.limit(0), labels).count() == 0 and toxicity.drop_toxic(docs, labels).columns == docs.columns
 
 

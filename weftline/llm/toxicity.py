@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm.common import remainder, table
-from weftline.session import prepare
+from weftline.session import cut, prepare
 
 WORD = re.compile(r"\w+")
 BLOCK = 64
@@ -58,12 +58,16 @@ class Index:
         q /= np.linalg.norm(q)
         bound = q @ self.bounds[at]
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == self.k and bound[b] + 1e-9 < -best[-1][0]):
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        for at_once in (order[i : i + 8] for i in range(0, len(order), 8)):
+            if len(best) == self.k and bound[at_once[0]] + 1e-9 < -best[-1][0]:
                 break
-            cosine = q @ self.weights[at, b * BLOCK : (b + 1) * BLOCK]
+            place = (at_once[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            cosine = np.round(q @ self.weights[at[:, None], place], 9)
             some = np.flatnonzero(cosine > 0)
-            best = sorted(best + [(-round(float(cosine[i]), 9), int(b * BLOCK + i)) for i in some])[: self.k]
+            some = some[np.lexsort((place[some], -cosine[some]))[: self.k]]
+            best = sorted(best + [(-c, i) for c, i in zip(cosine[some].tolist(), place[some].tolist(), strict=True)])[: self.k]
         return [(-c, i) for c, i in best]
 
     def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
@@ -86,12 +90,13 @@ class Index:
         return self.seen[key]
 
 
-def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int = 4, least_chi2: float = 25.0, most_terms: int = 2000) -> Index:
+def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int = 4, least_chi2: float = 25.0, least_phi2: float = 0.02, most_terms: int = 2000) -> Index:
     """``rows``: (id, label, text) of the sample; ``totals``: labelled rows per label in all.
 
     Texts that repeat count once (the row first in order stays). The terms are those in at least
     ``least_docs`` examples whose chi-squared statistic against the label, over the sample, is
-    ``least_chi2`` or more; of more than ``most_terms``, those with the largest. Without rows,
+    ``least_chi2`` or more and at least the share ``least_phi2`` of the examples (words of a few
+    kindred documents have less); of more than ``most_terms``, those with the largest. Without rows,
     or with one label only, every score is the share of label 1 (0 without any).
     """
     unique: dict[str, tuple] = {}
@@ -110,7 +115,7 @@ def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int
             a, c = df1[w], n1 - df1[w]
             b, e = d - a, (n - n1) - (d - a)
             chi2 = n * (a * e - b * c) ** 2 / (n1 * (n - n1) * d * (n - d))
-            if chi2 >= least_chi2:
+            if chi2 >= max(least_chi2, least_phi2 * n):
                 chosen.append((-chi2, w))
     terms = {w: i for i, (_, w) in enumerate(sorted(chosen)[:most_terms])}
     idf = np.array([np.log((1 + n) / (1 + df[w])) + 1 for w in terms])
@@ -125,7 +130,7 @@ def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int
     # what one example of a class stands for among all labelled rows
     share = {1: base / max(n1, 1), 0: (1 - base) / max(n - n1, 1)}
     scale = 1 / max(share.values()) if n else 1.0
-    empty = [i for i in range(n) if i not in set(kept)]
+    empty = sorted(set(range(n)).difference(kept))
     e1, e0 = sum(share[1] for i in empty if y[i]), sum(share[0] for i in empty if not y[i])
     blank = (e1 + base / max(n, 1)) / (e1 + e0 + 1 / max(n, 1)) if n else base
     m = -(-len(kept) // BLOCK) * BLOCK
@@ -136,23 +141,28 @@ def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int
     return Index(terms, idf, weights, bounds, y[kept], [rows[i][0] for i in kept], np.array([share[int(y[i])] * scale for i in kept]), base, float(min(1, max(0, blank))), len(kept), k)
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", doc_id: str = "doc_id", held_out: Column | None = None) -> DataFrame:
-    """(id, label, text) of documents with a label 0 or 1 that aren't held out. A document
+def labelled_ids(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", doc_id: str = "doc_id", held_out: Column | None = None) -> DataFrame:
+    """(id, label, chars) of documents with a label 0 or 1 that aren't held out. A document
     labelled twice has the larger label; rows without an id have none."""
     marks = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.max(label).cast("int").alias("label"))
-    own = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), (held_out if held_out is not None else F.lit(False)).alias("held"))
-    return own.where("not held").join(marks, "id").select("id", "label", "text")
+    own = docs.select(F.col(doc_id).alias("id"), F.length(F.coalesce(F.col(text), F.lit(""))).alias("chars"), (held_out if held_out is not None else F.lit(False)).alias("held"))
+    return own.where("not held").join(marks, "id").select("id", "label", "chars")
 
 
-def sample_and_fit(rows: DataFrame, examples: int = 4000, most_chars: int = 20_000, **options) -> Index:
+def sample_and_fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", doc_id: str = "doc_id", held_out: Column | None = None, examples: int = 4000, most_chars: int = 20_000, **options) -> Index:
     """Fit on at most about ``examples`` rows for each label, drawn by a hash of the id among the
-    labelled rows of at most ``most_chars`` characters. Both bounds hold at any input size."""
-    short = rows.where(F.length("text") <= most_chars)
+    labelled rows of at most ``most_chars`` characters. Both bounds hold at any input size. Only
+    ids and lengths are joined to the labels; texts are read for the drawn rows alone."""
+    short = cut(labelled_ids(docs, labels, label, text, doc_id, held_out).where(F.col("chars") <= most_chars).select("id", "label"))
     totals = {r.label: r.n for r in short.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not totals:
+        return fit([], totals, **options)
     at = F.pmod(F.xxhash64("id", F.lit(61)), F.lit(1 << 40)) / float(1 << 40)
     limit = F.when(F.col("label") == 1, min(1.0, examples / max(totals.get(1, 0), 1))).otherwise(min(1.0, examples / max(totals.get(0, 0), 1)))
-    drawn = [(r.id, r.label, r.text) for r in short.where(at <= limit).collect()] if totals else []
-    return fit(drawn, totals, **options)
+    ids = F.broadcast(short.where(at <= limit).distinct())  # about 2 * examples rows
+    body = F.coalesce(F.col(text), F.lit(""))
+    drawn = docs.select(F.col(doc_id).alias("id"), body.alias("text")).where(F.length("text") <= most_chars).join(ids, "id")
+    return fit([(r.id, r.label, r.text) for r in drawn.select("id", "label", "text").distinct().collect()], totals, **options)
 
 
 def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", doc_id: str = "doc_id", evidence: int = 3) -> DataFrame:
@@ -183,7 +193,7 @@ def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", doc_id: s
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose predicted label is 0, columns as they are."""
-    index = sample_and_fit(labelled_rows(docs, labels, held_out=remainder(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1]))
+    index = sample_and_fit(docs, labels, held_out=F.coalesce(remainder(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1], F.lit(False)))
     named = docs.select([F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns])
     return toxicity_scores(named, index, "in_text", "in_doc_id").where("predicted = 0").select([F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
@@ -191,5 +201,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held = F.coalesce(remainder(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1], F.lit(False))
-    index = sample_and_fit(labelled_rows(docs, labels, held_out=held))
+    index = sample_and_fit(docs, labels, held_out=held)
     return toxicity_scores(docs.select("doc_id", held.alias("held_out"), "text"), index).select("doc_id", "held_out", "score", "predicted", "evidence")
