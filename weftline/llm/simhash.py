@@ -196,8 +196,8 @@ def simhash_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def simhash_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3, max_bits: int = 3, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its group, and rows without an id in a
-    group that has none; all columns as they are."""
+    """The rows of ``docs`` whose id is the least of its group, and rows without an id; all columns
+    as they are. Ids name documents: rows that share an id stay or go together."""
     gone = simhash_groups(docs, text, doc_id, words, max_bits, seed).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
 

@@ -103,12 +103,16 @@ def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int
     for r in sorted(rows, key=lambda r: (str(r[0]), r[1])):
         unique.setdefault(" ".join(terms_of(r[2])), r)
     rows = sorted(unique.values(), key=lambda r: str(r[0]))
-    bags = [Counter(terms_of(r[2])) for r in rows]
     y = np.array([r[1] for r in rows], int)
     n, n1 = len(rows), int(y.sum())
     labelled = sum(totals.values())
     base = totals.get(1, 0) / labelled if labelled else 0.0
-    df, df1 = Counter(w for b in bags for w in b), Counter(w for b, label in zip(bags, y, strict=True) if label for w in b)
+    df, df1 = Counter(), Counter()
+    for r, one in zip(rows, y, strict=True):  # texts are cut into words twice, so that no bag of words is kept
+        words = set(terms_of(r[2]))
+        df.update(words)
+        if one:
+            df1.update(words)
     chosen = []
     for w, d in df.items():
         if d >= least_docs and 0 < n1 < n and d < n:
@@ -120,10 +124,10 @@ def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int
     terms = {w: i for i, (_, w) in enumerate(sorted(chosen)[:most_terms])}
     idf = np.array([np.log((1 + n) / (1 + df[w])) + 1 for w in terms])
     vectors, kept = [], []
-    for i, b in enumerate(bags):
+    for i, r in enumerate(rows):
         v = np.zeros(len(terms))
-        for w in b.keys() & terms.keys():
-            v[terms[w]] = (1 + np.log(b[w])) * idf[terms[w]]
+        for at, count in Counter([terms[w] for w in terms_of(r[2]) if w in terms]).items():
+            v[at] = (1 + np.log(count)) * idf[at]
         if (norm := np.linalg.norm(v)) > 0:
             vectors.append(v / norm)
             kept.append(i)
