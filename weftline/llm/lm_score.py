@@ -18,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Block:
     """The tokens of some documents as numbers, and their distinct keys."""
 
-    def __init__(self, texts: list[str | None], train: np.ndarray) -> None:
+    def __init__(self, texts: list[str | None], train: np.ndarray, bits: int = 64) -> None:
         words: list[bytes] = []
         lengths = []
         for t in texts:
@@ -70,7 +71,7 @@ class Block:
         # the start's count is the end's: one per document
         end = back[place[END]] if place else 0
         self.context = np.append(back, end)[context]
-        self.bigrams, self.pair = np.unique(_mix(keys[context], keys[token]), return_inverse=True)
+        self.bigrams, self.pair = np.unique(_mix(keys[context], keys[token]) >> np.uint64(64 - bits), return_inverse=True)
         self.bigram_counts = np.bincount(self.pair, weight, len(self.bigrams)).astype(np.int64)
 
     def sums(self, per_token: np.ndarray) -> np.ndarray:
@@ -90,25 +91,27 @@ def traverse(block: Block, unigram: np.ndarray, bigram: np.ndarray, total: int,
 
 def _planes(values: np.ndarray) -> bytes:
     """Integers byte plane by byte plane, so that high bytes, mostly zero, compress."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def _unplanes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
 
 
-def _ranges(keys: np.ndarray, ranges: int) -> np.ndarray:
-    """The range of each key, which never falls as keys rise."""
-    return ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+def _ranges(keys: np.ndarray, bits: int, ranges: int) -> np.ndarray:
+    """The range of each key of so many bits, which never falls as keys rise."""
+    return ((keys >> np.uint64(bits - 32)) * np.uint64(ranges)) >> np.uint64(32)
 
 
-def _ask(part: pa.Table, ranges: int) -> pa.Table:
+def _ask(part: pa.Table, ranges: int, bits: int) -> pa.Table:
     out = {"range": [], "block": [], "kind": [], "keys": [], "counts": []}
-    block = Block(part.column("t").to_pylist(), part.column("train").to_numpy())
-    for kind, keys, counts in ((1, block.unigrams, block.unigram_counts), (2, block.bigrams, block.bigram_counts)):
-        edges = np.flatnonzero(np.diff(_ranges(keys, ranges).astype(np.int64), prepend=-1))
+    block = Block(part.column("t").to_pylist(), part.column("train").to_numpy(), bits)
+    for kind, width, keys, counts in ((1, 64, block.unigrams, block.unigram_counts), (2, bits, block.bigrams, block.bigram_counts)):
+        of = _ranges(keys, width, ranges).astype(np.int64)
+        edges = np.flatnonzero(np.diff(of, prepend=-1))
         for a, b in zip(edges, [*edges[1:], len(keys)], strict=True):
-            out["range"].append(int(_ranges(keys[a : a + 1], ranges)[0]))
+            out["range"].append(int(of[a]))
             out["block"].append(part.column("block")[0].as_py())
             out["kind"].append(kind)
             out["keys"].append(_planes(np.diff(keys[a:b], prepend=np.uint64(0))))
@@ -140,28 +143,31 @@ def _answer(asked: pa.Table) -> pa.Table:
     return pa.table(out, TOLD)
 
 
-def lm_scores(docs: DataFrame, train, text: str = "text", doc_id: str = "doc_id", prior: float = PRIOR, block_chars: int = 4_000_000, keep: list[str] | None = None) -> DataFrame:
+def lm_scores(docs: DataFrame, train, text: str = "text", doc_id: str = "doc_id", prior: float = PRIOR, block_chars: int = 6_000_000, keep: list[str] | None = None) -> DataFrame:
     """doc_id, the columns ``keep``, and n_tokens, n_known, train_tokens, base_score and score, one
     row per input row. ``train`` is a condition on ``docs``: the rows to learn from (null: not).
 
     Null and empty texts are the end token alone. Texts are never cut; a block holds about
     ``block_chars`` characters, or one text that is longer. Rows that repeat are learned from as
-    often as they stand. Without training rows every token has the same share. Words and
-    bigrams are told apart by 64-bit hashes. An empty table gives an empty result.
+    often as they stand. Without training rows every token has the same share. Words are told
+    apart by 64-bit hashes. Bigrams have hashes of as many bits as number the input's characters,
+    and 20 more (64 at most): a bigram is taken for another with a chance below one in a million.
+    An empty table gives an empty result.
     """
     kept = keep or []
     body = F.coalesce(F.col(text), F.lit(""))
     chars = docs.agg(F.sum(F.length(body).cast("long") + 1)).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
+    bits = min(64, max(40, chars.bit_length() + 20))
     own = F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), body), F.lit(23)), F.lit(blocks)).cast("int")
     rows = docs.select(own.alias("block"), F.col(doc_id).alias("doc_id"), *kept, body.alias("t"), F.coalesce(train, F.lit(False)).alias("train"))
-    asked = rows.select("block", "t", "train").groupBy("block").applyInArrow(lambda part: _ask(part, blocks), "range int, block int, kind int, keys binary, counts binary")
+    asked = rows.select("block", "t", "train").groupBy("block").applyInArrow(lambda part: _ask(part, blocks, bits), "range int, block int, kind int, keys binary, counts binary")
     told = cut(asked.groupBy("range").applyInArrow(_answer, "range int, block int, kind int, counts binary, total long, distinct long"))
     sums = told.where("block = -1").agg(F.sum("total"), F.sum("distinct")).first()
     total, distinct = int(sums[0] or 0), int(sums[1] or 0)
 
     def score(part: pa.Table, answers: pa.Table) -> pa.Table:
-        block = Block(part.column("t").to_pylist(), np.zeros(len(part), bool))
+        block = Block(part.column("t").to_pylist(), np.zeros(len(part), bool), bits)
         answers = answers.sort_by([("kind", "ascending"), ("range", "ascending")])
         kinds = answers.column("kind").to_numpy()
         blobs = answers.column("counts")
