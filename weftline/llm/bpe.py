@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from itertools import chain
 
 import numpy as np
@@ -27,6 +28,9 @@ PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: Entries of a table of recent encodings, bytes of a row of trees, rows at once, characters at once.
 KEPT, WIDEST, ROWS, PART = 120_000, 64, 20_000, 2_000_000
 NONE = 1 << 62
+MIX = 0x9E3779B97F4A7C15
+#: White space other than the space, as the pretoken pattern has it.
+SPACES = "\t\n\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def byte_letters() -> list[str]:
@@ -37,25 +41,25 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-class Recent(dict):
-    """A table that forgets: once it holds ``size`` entries, those not used since the last time
-    go. ``age`` is called between uses only, so what has just been stored can be relied on."""
+class Recent:
+    """A table that forgets: once ``now`` holds ``size`` entries, those not asked for since the
+    last time go. What ``missing`` has been asked for stays in ``now`` until ``age`` is called."""
 
     def __init__(self, size: int) -> None:
-        super().__init__()
-        self.size, self.old = size, {}
+        self.size, self.now, self.old = size, {}, {}
 
-    def __missing__(self, key):
-        value = self[key] = self.old[key]
-        return value
-
-    def __contains__(self, key) -> bool:
-        return dict.__contains__(self, key) or key in self.old
+    def missing(self, keys: set) -> set:
+        """The keys that aren't known; the others are in ``now`` after this."""
+        now, old = self.now, self.old
+        rest = keys.difference(now)
+        back = rest.intersection(old)
+        for k in back:
+            now[k] = old[k]
+        return rest.difference(back)
 
     def age(self) -> None:
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
+        if len(self.now) >= self.size:
+            self.now, self.old = {}, self.now
 
 
 class Codec:
@@ -79,13 +83,14 @@ class Codec:
         # of tokens that begin alike, the longest
         self.split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.wide_special = [t for t in self.special if regex.search(r"\s", t)]
-        self.edges = regex.compile(r" \s|[^\S ] ")
-        self.runs = regex.compile(r"\s*\S+|\s+")
-        keys = np.array([a << 20 | b for a, b in self.pairs], np.int64)
-        order = np.argsort(keys)
-        self.pair_keys = np.append(keys[order], NONE)
-        self.pair_ranks = np.append(np.array([r for r, _ in self.pairs.values()], np.int64)[order], 0)
-        self.pair_ids = np.append(np.array([i for _, i in self.pairs.values()], np.int64)[order], 0)
+        self.strings = {i: str(i) for i in self.bytes_of}
+        self.runs = re.compile(f"[{SPACES} ]*[^{SPACES} ]+|[{SPACES} ]+")
+        # of ASCII text the pattern needs no Unicode classes
+        self.ascii = re.compile(PRETOKEN.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9").replace(" ?A-Za-z+", " ?[A-Za-z]+").replace(" ?0-9+", " ?[0-9]+"), re.ASCII)
+        self._hash_pairs()
+        top = max(self.bytes_of) + 1
+        self.blob = np.frombuffer(b"".join([self.bytes_of.get(i, b"") for i in range(top)]), np.uint8)
+        self.starts = np.cumsum([0, *(len(self.bytes_of.get(i, b"")) for i in range(top))])
         self.known, self.pieces = Recent(KEPT), Recent(KEPT)
 
     def merge(self, raw: bytes) -> list[int]:
@@ -140,11 +145,35 @@ class Codec:
                 put(before[i], rank(before[i], i))
         return [x for x in ids if x >= 0]
 
+    def _hash_pairs(self) -> None:
+        """Pairs by an open-addressed table: a slot's key, rank and merged id."""
+        bits = max(4, (4 * len(self.pairs)).bit_length())
+        self.shift = 64 - bits
+        self.slot_keys = np.full((1 << bits) + 64, -1, np.int64)
+        self.slot_ranks = np.full((1 << bits) + 64, NONE, np.int64)
+        self.slot_ids = np.zeros((1 << bits) + 64, np.int64)
+        self.probes = 1
+        for (a, b), (rank, made) in self.pairs.items():
+            key = a << 20 | b
+            at = ((key * MIX) & (1 << 64) - 1) >> self.shift
+            n = 1
+            while self.slot_keys[at] >= 0:
+                at, n = at + 1, n + 1
+            self.slot_keys[at], self.slot_ranks[at], self.slot_ids[at] = key, rank, made
+            self.probes = max(self.probes, n)
+
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ranks (NONE: not mergeable) and merged ids of pairs."""
+        """Ranks (NONE: not mergeable) and merged ids of pairs; ids below 0 pair with nothing."""
         keys = left << 20 | right
-        at = np.searchsorted(self.pair_keys, keys)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NONE), self.pair_ids[at]
+        at = ((keys.view(np.uint64) * np.uint64(MIX)) >> np.uint64(self.shift)).view(np.int64)
+        found = self.slot_keys.take(at)
+        for _ in range(1, self.probes):
+            on = np.flatnonzero((found != keys) & (found >= 0))
+            if not len(on):
+                break
+            at[on] += 1
+            found[on] = self.slot_keys.take(at[on])
+        return np.where(found == keys, self.slot_ranks.take(at), NONE), self.slot_ids.take(at)
 
     def merge_many(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """``merge`` of many pretokens at once: the segment trees of pretokens of like length are
@@ -173,50 +202,66 @@ class Codec:
         ids[column >= n[:, None]] = -1
         if size == 1:
             return ids
+        width = 2 * size
+        tree = np.full((len(words), width), NONE, np.int64)
         made = np.zeros(ids.shape, np.int64)
-        tree = np.full((len(words), 2 * size), NONE, np.int64)
-        ranks, made[:, :-1] = self._look_up(ids[:, :-1], ids[:, 1:])
+        ranks, merged = self._look_up(np.ascontiguousarray(ids[:, :-1]).ravel(), np.ascontiguousarray(ids[:, 1:]).ravel())
+        ranks, made[:, :-1] = ranks.reshape(-1, size - 1), merged.reshape(-1, size - 1)
         tree[:, size:-1] = np.where((ids[:, 1:] >= 0) & (ranks < NONE), ranks << 8 | column[:-1], NONE)
         level = size
         while level > 1:
             level //= 2
             tree[:, level : 2 * level] = np.minimum(tree[:, 2 * level : 4 * level : 2], tree[:, 2 * level + 1 : 4 * level : 2])
-        after = np.where(column + 1 < n[:, None], column + 1, size)
-        before = np.tile(column - 1, (len(words), 1))
-        while len(row := np.flatnonzero(tree[:, 1] < NONE)):
-            i = tree[row, 1] & 0xFF
-            j, new, h = after[row, i], made[row, i], before[row, i]
-            k = after[row, j]
-            ids[row, i], ids[row, j], after[row, i] = new, -1, k
-            right, left = k < size, h >= 0
-            row_r, i_r, row_l, h_l = row[right], i[right], row[left], h[left]
-            before[row_r, k[right]] = i_r
-            tree[row, size + j] = NONE
-            tree[row, size + i] = NONE
-            rank, made[row_r, i_r] = self._look_up(new[right], ids[row_r, k[right]])
-            tree[row_r, size + i_r] = np.where(rank < NONE, rank << 8 | i_r, NONE)
-            rank, made[row_l, h_l] = self._look_up(ids[row_l, h_l], new[left])
-            tree[row_l, size + h_l] = np.where(rank < NONE, rank << 8 | h_l, NONE)
-            for r, leaf in ((row, j), (row, i), (row_l, h_l)):
-                at, level = size + leaf, size
+        after = np.where(column + 1 < n[:, None], column + 1, size).ravel()
+        before = np.tile(column - 1, len(words))
+        # flat from here: symbol p of row r stands at r * size + p, node q of its tree at r * width + q
+        flat, made, tree = ids.ravel(), made.ravel(), tree.ravel()
+        row = np.flatnonzero(tree[1::width] < NONE)
+        while len(row):
+            sym, node = row * size, row * width
+            i = tree.take(node + 1) & 0xFF
+            at_i = sym + i
+            j, new, h = after.take(at_i), made.take(at_i), before.take(at_i)
+            at_j = sym + j
+            k = after.take(at_j)
+            flat[at_i], flat[at_j], after[at_i] = new, -1, k
+            right, left = np.flatnonzero(k < size), np.flatnonzero(h >= 0)
+            sym_r, i_r = sym[right], i[right]
+            at_k = sym_r + k[right]
+            before[at_k] = i_r
+            tree[node + size + j] = NONE
+            tree[node + size + i] = NONE
+            rank, made[sym_r + i_r] = self._look_up(new[right], flat.take(at_k))
+            tree[node[right] + size + i_r] = np.where(rank < NONE, rank << 8 | i_r, NONE)
+            h_l = h[left]
+            at_h, node_l = sym[left] + h_l, node[left]
+            rank, made[at_h] = self._look_up(flat.take(at_h), new[left])
+            tree[node_l + size + h_l] = np.where(rank < NONE, rank << 8 | h_l, NONE)
+            for base, leaf in ((node, j), (node, i), (node_l, h_l)):
+                q, level = size + leaf, size
                 while level > 1:
-                    at, level = at >> 1, level // 2
-                    tree[r, at] = np.minimum(tree[r, 2 * at], tree[r, 2 * at + 1])
+                    q, level = q >> 1, level // 2
+                    below = base + 2 * q
+                    tree[base + q] = np.minimum(tree.take(below), tree.take(below + 1))
+            row = row[tree.take(node + 1) < NONE]
         return ids
 
     def words(self, text: str) -> list[str]:
         """Pretokens and special tokens, in order; joined they are the text."""
-        if self.split is None or not any(t in text for t in self.special):
-            return self.pretoken.findall(text)
-        return list(chain.from_iterable([part] if part in self.special else self.pretoken.findall(part) for part in self.split.split(text)))
+        for t in self.special:
+            if t in text:
+                parts = self.split.split(text)
+                return list(chain.from_iterable([part] if part in self.special else self.pretoken.findall(part) for part in parts))
+        return self.ascii.findall(text) if text.isascii() else self.pretoken.findall(text)
 
     def chunks(self, text: str) -> list[str]:
         """The text in parts that can be encoded apart: a run of white space and what follows it.
         No pretoken, and no special token but one with white space inside, has white space after
         another character."""
-        if any(t in text for t in self.wide_special):
-            return [text]
-        if self.edges.search(text):
+        for t in self.wide_special:
+            if t in text:
+                return [text]
+        if "  " in text or any([" " + c in text or c + " " in text for c in SPACES if c in text]):
             return self.runs.findall(text)
         head, *rest = text.split(" ")
         rest = [" " + x for x in rest]
@@ -224,33 +269,43 @@ class Codec:
 
     def learn(self, chunks: set[str]) -> None:
         """Encode chunks that aren't known."""
-        cut, pieces = {c: self.words(c) for c in chunks}, self.pieces
-        new = [*{w for ws in cut.values() for w in ws if w not in self.special and w not in pieces}]
-        ids = dict(zip(new, self.merge_many([w.encode("utf-8") for w in new]), strict=True)) | {t: (i,) for t, i in self.special.items()}
-        found, known = self.bytes_of, self.known
-        for c, ws in cut.items():
-            own = tuple(chain.from_iterable([ids[w] if w in ids else pieces[w] for w in ws]))
-            known[c] = (len(own), ",".join(map(str, own)), own, b"".join([found[i] for i in own]))
+        new_chunks, pieces = self.known.missing(chunks), self.pieces
+        cut = {c: self.words(c) for c in new_chunks}
+        new = [*pieces.missing(set(chain.from_iterable(cut.values())))]
+        plain = [w for w in new if w not in self.special]
+        ids = dict(zip(plain, self.merge_many([w.encode("utf-8") for w in plain]), strict=True)) | {t: (i,) for t, i in self.special.items()}
+        strings, known, pieces = self.strings, self.known.now, pieces.now
         for w in new:
-            pieces[w] = ids[w]
+            pieces[w] = ",".join([strings[i] for i in ids[w]])
+        for c, ws in cut.items():
+            known[c] = pieces[ws[0]] if len(ws) == 1 else ",".join([pieces[w] for w in ws])
 
-    def entries(self, texts: list[str]) -> list[list[tuple[int, str, tuple[int, ...], bytes]]]:
-        """For each text its chunks' (count, decimal ids, ids, the ids' bytes)."""
+    def encode_many(self, texts: list[str]) -> list[str]:
+        """For each text its ids in decimal, joined by commas."""
         parts = [self.chunks(t) for t in texts]
-        known = self.known
-        self.learn({c for cs in parts for c in cs if c not in known})
-        out = [[known[c] for c in cs] for cs in parts]
-        known.age()
+        self.learn(set(chain.from_iterable(parts)))
+        look = self.known.now.__getitem__
+        out = [",".join(map(look, cs)) for cs in parts]
+        self.known.age()
         self.pieces.age()
         return out
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(e[2] for e in self.entries([text])[0]))
+        return numbers(self.encode_many([text])[0]).tolist()
 
     def decode(self, ids) -> str:
         """Ids that the vocabulary lacks are skipped; broken UTF-8 becomes U+FFFD."""
-        found = self.bytes_of
-        return b"".join([found[i] for i in ids if i in found]).decode("utf-8", "replace")
+        ids = np.asarray(ids, np.int64)
+        ids = ids[(ids >= 0) & (ids < len(self.starts) - 1)]
+        begin, size = self.starts[ids], self.starts[ids + 1] - self.starts[ids]
+        total = int(size.sum())
+        at = np.arange(total) + np.repeat(begin - (np.cumsum(size) - size), size)
+        return self.blob[at].tobytes().decode("utf-8", "replace")
+
+
+def numbers(text: str) -> np.ndarray:
+    """The ids of a string of decimal ids joined by commas."""
+    return np.fromstring(text, np.int32, sep=",") if text else np.empty(0, np.int32)
 
 
 _CODECS: dict[str, Codec] = {}
@@ -295,7 +350,9 @@ def bpe_encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids")
 
     def make(texts):
         c = codec(path)
-        return pa.array([[*chain.from_iterable([e[2] for e in found])] for some in slices(texts) for found in c.entries(some)], pa.list_(pa.int32()))
+        ids = [numbers(found) for some in slices(texts) for found in c.encode_many(some)]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
 
     return _with(docs, text, out, ArrayType(IntegerType()), make)
 
@@ -324,10 +381,10 @@ def bpe_digests(docs: DataFrame, path: str, text: str = "text", doc_id: str = "d
         for b in batches:
             rows = []
             for some in slices(b.column("t")):
-                for given, found in zip(some, c.entries(some), strict=True):
-                    decoded = b"".join([e[3] for e in found]).decode("utf-8", "replace")
-                    ids = ",".join([e[1] for e in found if e[0]])
-                    rows.append((sum([e[0] for e in found]), sha(ids.encode()).hexdigest(), sha(decoded.encode("utf-8")).hexdigest(), decoded == given))
+                for given, said in zip(some, c.encode_many(some), strict=True):
+                    ids = numbers(said)
+                    decoded = c.decode(ids)
+                    rows.append((len(ids), sha(said.encode()).hexdigest(), sha(decoded.encode("utf-8")).hexdigest(), decoded == given))
             kinds = (pa.int64(), pa.string(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
 
