@@ -1,12 +1,10 @@
 """Toxicity by nearest labelled examples.
 
 Examples are a bounded, documented sample of the labelled rows. Their TF-IDF vectors, over the
-terms that tell the labels apart, stand in an inverted index cut into blocks of examples. For
-each term and block the index holds the greatest weight, so a product with the query bounds
-the cosine of every example of a block from above. Blocks are scored in the order of their
-bounds until the k-th best cosine exceeds the next bound: the k nearest are exact. Their votes,
-weighted by closeness and by what share of its class the sample holds, together with a vote of
-the base rate, give the score; the neighbours are its evidence.
+terms that tell the labels apart, stand in an inverted index of sparse postings. A query adds up
+the postings of its own terms, which gives the cosine of every example that shares one: the k
+nearest are exact. Their votes, weighted by closeness and by what share of its class the sample
+holds, together with a vote of the base rate, give the score; the neighbours are its evidence.
 """
 
 from __future__ import annotations
@@ -17,6 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +23,6 @@ from weftline.llm.common import remainder, table
 from weftline.session import cut, prepare
 
 WORD = re.compile(r"\w+")
-BLOCK = 64
 HELD_OUT = (5, 0)
 
 
@@ -35,13 +33,14 @@ def terms_of(text: str | None) -> list[str]:
 
 @dataclass
 class Index:
-    """Block-max inverted index of labelled examples; made by ``fit``."""
+    """Inverted index of labelled examples as sparse postings; made by ``fit``."""
 
     terms: dict[str, int]
     idf: np.ndarray
-    weights: np.ndarray  # term x example (padded to whole blocks), unit vectors
-    bounds: np.ndarray  # term x block
-    labels: np.ndarray  # of the examples; padding is left out by ``n``
+    starts: np.ndarray  # of each term's postings, and their end
+    places: np.ndarray  # the examples of the postings
+    values: np.ndarray  # their weights in unit vectors
+    labels: np.ndarray  # of the examples
     ids: list
     votes: np.ndarray  # class weight of each example
     base: float  # share of label 1 among labelled rows
@@ -50,25 +49,26 @@ class Index:
     k: int = 25
     seen: dict = field(default_factory=dict, repr=False)
 
+    @property
+    def weights(self) -> np.ndarray:
+        """The postings as a dense matrix, term x example."""
+        out = np.zeros((len(self.terms), self.n))
+        out[np.repeat(np.arange(len(self.terms)), np.diff(self.starts)), self.places] = self.values
+        return out
+
     def nearest(self, counts: dict[int, int]) -> list[tuple[float, int]]:
         """Exact k nearest examples of a query of term counts: (cosine, example), the nearest
         first, ties by the example's place. Examples of cosine 0 aren't neighbours."""
         at = np.fromiter(counts, np.int64, len(counts))
         q = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.idf[at]
         q /= np.linalg.norm(q)
-        bound = q @ self.bounds[at]
-        best: list[tuple[float, int]] = []
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        for at_once in (order[i : i + 8] for i in range(0, len(order), 8)):
-            if len(best) == self.k and bound[at_once[0]] + 1e-9 < -best[-1][0]:
-                break
-            place = (at_once[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            cosine = np.round(q @ self.weights[at[:, None], place], 9)
-            some = np.flatnonzero(cosine > 0)
-            some = some[np.lexsort((place[some], -cosine[some]))[: self.k]]
-            best = sorted(best + [(-c, i) for c, i in zip(cosine[some].tolist(), place[some].tolist(), strict=True)])[: self.k]
-        return [(-c, i) for c, i in best]
+        many = self.starts[at + 1] - self.starts[at]
+        own = np.arange(many.sum()) + np.repeat(self.starts[at] - np.cumsum(many) + many, many)
+        cosine = np.round(np.bincount(self.places[own], np.repeat(q, many) * self.values[own], self.n), 9)
+        least = np.partition(cosine, self.n - self.k)[self.n - self.k] if self.n > self.k else 0.0
+        some = np.flatnonzero((cosine > 0) & (cosine >= least))
+        some = some[np.lexsort((some, -cosine[some]))[: self.k]]
+        return list(zip(cosine[some].tolist(), some.tolist(), strict=True))
 
     def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
         """(score, neighbours) of a text."""
@@ -76,11 +76,12 @@ class Index:
         counts = Counter([known[w] for w in terms_of(text) if w in known])
         if not counts:
             return self.blank, []
-        key = tuple(sorted(counts.items()))
+        counts = dict(sorted(counts.items()))
+        key = xxhash.xxh128_digest(np.array([*counts.items()], np.int64).tobytes())
         if key not in self.seen:
-            if len(self.seen) >= 50_000:
+            if len(self.seen) >= 5_000:  # about 3 KB each
                 self.seen.clear()
-            near = self.nearest(dict(key))
+            near = self.nearest(counts)
             # closeness 1 / (1.05 - cosine); the base rate votes like one distant neighbour
             top, total = self.base, 1.0
             for c, i in near:
@@ -90,14 +91,14 @@ class Index:
         return self.seen[key]
 
 
-def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int = 4, least_chi2: float = 25.0, least_phi2: float = 0.02, most_terms: int = 2000) -> Index:
+def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int = 4, least_chi2: float = 25.0, least_phi2: float = 0.0, most_terms: int = 2000) -> Index:
     """``rows``: (id, label, text) of the sample; ``totals``: labelled rows per label in all.
 
     Texts that repeat count once (the row first in order stays). The terms are those in at least
     ``least_docs`` examples whose chi-squared statistic against the label, over the sample, is
-    ``least_chi2`` or more and at least the share ``least_phi2`` of the examples (words of a few
-    kindred documents have less); of more than ``most_terms``, those with the largest. Without rows,
-    or with one label only, every score is the share of label 1 (0 without any).
+    ``least_chi2`` or more and at least the share ``least_phi2`` of the examples (0: the bar is the
+    same at any sample size); of more than ``most_terms``, those with the largest. Without rows, or
+    with one label only, every score is the share of label 1 (0 without any).
     """
     unique: dict[str, tuple] = {}
     for r in sorted(rows, key=lambda r: (str(r[0]), r[1])):
@@ -123,26 +124,25 @@ def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int
                 chosen.append((-chi2, w))
     terms = {w: i for i, (_, w) in enumerate(sorted(chosen)[:most_terms])}
     idf = np.array([np.log((1 + n) / (1 + df[w])) + 1 for w in terms])
-    vectors, kept = [], []
+    at, places, values, kept = [], [], [], []
     for i, r in enumerate(rows):
-        v = np.zeros(len(terms))
-        for at, count in Counter([terms[w] for w in terms_of(r[2]) if w in terms]).items():
-            v[at] = (1 + np.log(count)) * idf[at]
-        if (norm := np.linalg.norm(v)) > 0:
-            vectors.append(v / norm)
+        if counts := Counter([terms[w] for w in terms_of(r[2]) if w in terms]):
+            own = np.fromiter(counts, np.int32, len(counts))
+            v = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * idf[own]
+            at.append(own)
+            places.append(np.full(len(own), len(kept), np.int32))
+            values.append(v / np.linalg.norm(v))
             kept.append(i)
+    at, places, values = (np.concatenate(x) if kept else np.empty(0, t) for x, t in ((at, np.int32), (places, np.int32), (values, float)))
+    order = np.argsort(at, kind="stable")
+    starts = np.searchsorted(at[order], np.arange(len(terms) + 1))
     # what one example of a class stands for among all labelled rows
     share = {1: base / max(n1, 1), 0: (1 - base) / max(n - n1, 1)}
     scale = 1 / max(share.values()) if n else 1.0
     empty = sorted(set(range(n)).difference(kept))
     e1, e0 = sum(share[1] for i in empty if y[i]), sum(share[0] for i in empty if not y[i])
     blank = (e1 + base / max(n, 1)) / (e1 + e0 + 1 / max(n, 1)) if n else base
-    m = -(-len(kept) // BLOCK) * BLOCK
-    weights = np.zeros((len(terms), m))
-    if kept:
-        weights[:, : len(kept)] = np.array(vectors).T
-    bounds = weights.reshape(len(terms), -1, BLOCK).max(axis=2) if m else np.zeros((len(terms), 0))
-    return Index(terms, idf, weights, bounds, y[kept], [rows[i][0] for i in kept], np.array([share[int(y[i])] * scale for i in kept]), base, float(min(1, max(0, blank))), len(kept), k)
+    return Index(terms, idf, starts, places[order], values[order], y[kept], [rows[i][0] for i in kept], np.array([share[int(y[i])] * scale for i in kept]), base, float(min(1, max(0, blank))), len(kept), k)
 
 
 def labelled_ids(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", doc_id: str = "doc_id", held_out: Column | None = None) -> DataFrame:
@@ -177,7 +177,7 @@ def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", doc_id: s
     among such examples. Whole texts count, whatever their length; rows that repeat score alike.
     """
     prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by examples x most_terms
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the postings of 2 * examples texts
     kept = [c for c in docs.columns if c not in ("score", "predicted", "evidence")]
 
     def run(batches):
