@@ -7,6 +7,9 @@ the digests of known licences. The same expressions normalise both sides.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,36 @@ KNOWN = {
 }
 
 
+#: Whole texts, a file for each licence, and the title lines under which copies are found.
+TEXTS = Path(__file__).resolve().parent.parent / "data" / "licenses"
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+#: Title lines at the start of the files, and what follows the terms, which copies may leave out.
+HEAD = re.compile(r"\A\s*(?:apache license\s+version 2\.0, january 2004(?:\s+https?://\S+)?|gnu (?:lesser )?general public license\s+version [0-9.]+, [\w ]+|mozilla public license version 2\.0\s+=+|creative commons legal code\s+cc0 1\.0 universal)\s*\n", re.I)
+TAIL = re.compile(r"END OF TERMS AND CONDITIONS")
+
+
+def known_texts() -> dict[str, list[str]]:
+    """KNOWN and the whole texts: with and without titles, with and without what follows the terms,
+    as the files break lines and with each paragraph on one line."""
+    out = {k: list(v) for k, v in KNOWN.items()}
+    for path in sorted(TEXTS.glob("*.txt")):
+        out.setdefault(path.stem, []).append(path.read_text("utf-8"))
+    for name, texts in out.items():
+        whole = [t for t in texts if len(t) > 500]
+        whole += [t[: m.end()] for t in whole if (m := TAIL.search(t))] + [t[: m.start()] for t in whole if (m := TAIL.search(t))]
+        whole += [t[m.end() :] for t in whole if (m := HEAD.match(t))]
+        whole += [f"{title}\n\n{t}" for t in whole for title in TITLES.get(name, [])]
+        whole += [re.sub(r"(?<=\S)[ \t]*\n[ \t]*(?=\S)", " ", t) for t in whole]
+        out[name] = list(dict.fromkeys([*texts, *whole]))
+    return out
+
+
 def canonical(text: Column) -> Column:
     """The normalised text, words joined by single spaces; null counts as empty.
 
@@ -54,7 +87,7 @@ def canonical(text: Column) -> Column:
 def registry(spark: SparkSession, known: dict[str, list[str]] | None = None) -> DataFrame:
     """(license_id, digest), one row per distinct digest; of licences whose texts normalise alike
     the first by name has it. Texts that normalise to nothing are left out."""
-    rows = [(k, t) for k, texts in (KNOWN if known is None else known).items() for t in texts]
+    rows = [(k, t) for k, texts in (known_texts() if known is None else known).items() for t in texts]
     made = spark.createDataFrame(rows, "license_id string, text string").select("license_id", canonical(F.col("text")).alias("c")).where("c <> ''")
     return made.groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
