@@ -69,20 +69,24 @@ def _rake_far(cells: DataFrame, targets: list[dict[str, float] | None], power: f
     """``rake`` without the driver, for more cells than it may hold: columns axes, natural, raked."""
     spark = cells.sparkSession
     now = cells.withColumn("raked", F.col("natural"))
+    whole = cells.agg(F.sum("natural")).first()[0] or 1.0
     goals = []
     for axis, wanted in zip(AXES, targets, strict=True):
-        goal = cells.groupBy(axis).agg(F.sum("natural").alias("s"))
+        goal = cells.groupBy(axis).agg((F.sum("natural") / whole).alias("s"))  # natural shares, as targets are shares
         if wanted is None:
             goal = goal.withColumn("g", F.when(F.col("s") > 0, F.pow("s", F.lit(power))).otherwise(0.0))
         else:
             given = spark.createDataFrame([(v, float(g)) for v, g in wanted.items()], f"{axis} string, t double")
             goal = goal.join(given, axis, "left").withColumn("g", F.when(F.col("s") > 0, F.coalesce("t", "s")).otherwise(0.0))
-        total = goal.agg(F.sum("g")).first()[0] or 1.0
+        total = goal.agg(F.sum("g")).first()[0] or 0.0
+        if total <= 0:  # as in rake: no target is left to meet
+            goal, total = goal.withColumn("g", F.col("s")), 1.0
         goals.append(cut(goal.select(axis, (F.col("g") / total).alias("g"))))
     for _ in range(rounds):
+        now = now.withColumn("off", F.lit(0.0))
         for axis, goal in zip(AXES, goals, strict=True):
             margin = now.groupBy(axis).agg(F.sum("raked").alias("m")).join(goal, axis).select(axis, F.when(F.col("m") > 0, F.col("g") / F.col("m")).otherwise(1.0).alias("step"))
-            now = now.join(margin, axis).withColumn("raked", F.col("raked") * F.col("step")).withColumn("off", F.abs(F.col("step") - 1) * (F.col("raked") > 0).cast("int")).drop("step")
+            now = now.join(margin, axis).withColumn("raked", F.col("raked") * F.col("step")).withColumn("off", F.greatest("off", F.abs(F.col("step") - 1) * (F.col("raked") > 0).cast("int"))).drop("step")
         now = cut(now)
         if (now.agg(F.max("off")).first()[0] or 0.0) < 1e-8:
             break
