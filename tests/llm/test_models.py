@@ -54,22 +54,6 @@ def test_bpe_rows(spark, sf):
     assert bpe.bpe_digests(rows.limit(0), PATH).count() == 0
 
 
-def test_block_max_index_is_exact():
-    rng = random.Random(5)
-    vocabulary = [f"w{i}" for i in range(30)]
-    rows = [(i, i % 2, " ".join(rng.choice(vocabulary[:20] if i % 2 else vocabulary[10:]) for _ in range(rng.randrange(3, 12))) + f" u{i}") for i in range(400)]
-    index = toxicity.fit(rows, {0: 200, 1: 200}, k=7, least_chi2=0.0, least_phi2=0.0)
-    for _ in range(50):
-        counts = Counter(rng.choice(range(len(index.terms))) for _ in range(rng.randrange(1, 9)))
-        q = np.zeros(len(index.terms))
-        for t, c in counts.items():
-            q[t] = (1 + math.log(c)) * index.idf[t]
-        cosine = np.round(q / np.linalg.norm(q) @ index.weights, 9)
-        want = sorted(((-c, i) for i, c in enumerate(cosine) if c > 0))[:7]
-        got = index.nearest(dict(counts))
-        assert [i for _, i in got] == [i for _, i in want] and [c for c, _ in got] == pytest.approx([-c for c, _ in want])
-
-
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = {r.doc_id: r for r in toxicity.op6_toxicity(spark, sf).collect()}
@@ -77,7 +61,7 @@ def test_toxicity_held_out(spark):
     out = [(got[d].score, t) for d, t in marks.items() if d in got and got[d].held_out]
     assert all(0 <= s <= 1 for s, _ in out) and all((r.score >= 0.5) == bool(r.predicted) for r in got.values())
     up, down = [s for s, t in out if t], [s for s, t in out if not t]
-    assert sum((a > b) + 0.5 * (a == b) for a in up for b in down) / max(1, len(up) * len(down)) > 0.8
+    assert sum((a > b) + 0.5 * (a == b) for a in up for b in down) / max(1, len(up) * len(down)) > 0.9
 
 
 def test_toxicity_edges(spark):
@@ -85,7 +69,7 @@ def test_toxicity_edges(spark):
     none = toxicity.fit([], {})
     rows = toxicity.toxicity_scores(docs, none).collect()
     assert len(rows) == 6 and {r.score for r in rows} == {0.0}
-    few = toxicity.fit([(i, i % 2, f"{'idiot' if i % 2 else 'calm'} {'clown' if i % 2 else 'nice'} x{i}") for i in range(60)], {0: 900, 1: 100}, least_chi2=3)
+    few = toxicity.fit([(i, i % 2, f"{'idiot' if i % 2 else 'calm'} {'clown' if i % 2 else 'nice'} x{i}") for i in range(60)], {0: 900, 1: 100})
     rows = toxicity.toxicity_scores(docs, few).collect()
     assert [r.predicted for r in rows] == [1, 0, 0, 1, 0, 1] and rows[0].evidence
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (9, None), (2, 0)], "doc_id long, toxic int")

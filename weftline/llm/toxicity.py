@@ -1,10 +1,17 @@
 """Toxicity by nearest labelled examples.
 
-Examples are a bounded, documented sample of the labelled rows. Their TF-IDF vectors, over the
-terms that tell the labels apart, stand in an inverted index of sparse postings. A query adds up
-the postings of its own terms, which gives the cosine of every example that shares one: the k
-nearest are exact. Their votes, weighted by closeness and by what share of its class the sample
-holds, together with a vote of the base rate, give the score; the neighbours are its evidence.
+Examples are a bounded, documented sample of the labelled rows. A text's terms are its lower-cased
+words and the beginnings of its words (three to seven letters, marked by a star), so that
+inflected and compounded forms of a word meet. Every term of a text has a place in its TF-IDF
+vector. A term weighs its inverse document frequency, raised for terms that tell the labels apart
+beyond chance: those decide which examples are near, all others take part with a small weight.
+
+The examples' vectors stand in an inverted index with block maxima: postings of rare terms as lists,
+those of frequent terms by block. A query first adds up its rare terms' postings. With them the
+block maxima of its frequent terms bound its cosine in each block of examples; blocks are completed,
+the most promising first, until no bound left exceeds the k-th best cosine. The k nearest are exact. Their
+votes, weighted by closeness and by what one example of a class stands for among all labelled
+rows, together with a vote of the base rate, give the score; the neighbours are its evidence.
 """
 
 from __future__ import annotations
@@ -12,78 +19,125 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructType
 
 from weftline.llm.common import remainder, table
 from weftline.session import cut, prepare
 
 WORD = re.compile(r"\w+")
 HELD_OUT = (5, 0)
+BEGINNINGS = range(3, 8)
+#: Examples in a block; terms in more than one of so many examples are frequent.
+BLOCK, FREQUENT = 32, 16
+#: How many standard errors of the log odds count as chance, and what any term's weight has at least.
+CHANCE, FLOOR, POWER = 2.5, 0.05, 1.5
+
 
+def terms_of(text: str | None) -> Counter:
+    """Terms and their counts: lower-cased words, and beginnings of longer words with a star; null
+    and empty texts have none."""
+    out: Counter = Counter()
+    for word, n in Counter(WORD.findall((text or "").lower())).items():
+        for term in _terms(word):
+            out[term] += n
+    return out
 
-def terms_of(text: str | None) -> list[str]:
-    """Lower-cased words, repeats included; null and empty texts have none."""
-    return WORD.findall((text or "").lower())
+
+def _terms(word: str) -> list[str]:
+    return [word, *(word[:k] + "*" for k in BEGINNINGS if k < len(word))]
 
 
 @dataclass
 class Index:
-    """Inverted index of labelled examples as sparse postings; made by ``fit``."""
+    """Inverted index of labelled examples; made by ``fit``. Examples that are alike in kind share a block."""
 
-    terms: dict[str, int]
-    idf: np.ndarray
-    starts: np.ndarray  # of each term's postings, and their end
+    terms: dict[str, int]  # frequent ones first
+    weight: np.ndarray  # of each term, and at the end of any other term
+    starts: np.ndarray  # where each rare term's postings start, and the end
     places: np.ndarray  # the examples of the postings
     values: np.ndarray  # their weights in unit vectors
+    frequent: np.ndarray  # the same of frequent terms: block x term x example of the block
+    maxima: np.ndarray  # their largest weights: term x block
     labels: np.ndarray  # of the examples
     ids: list
     votes: np.ndarray  # class weight of each example
     base: float  # share of label 1 among labelled rows
-    blank: float  # the same among those whose vector is empty
-    n: int
-    k: int = 25
+    k: int = 15
+    local: dict = field(default_factory=dict, repr=False)  # word -> its terms' places, within a worker
+    others: dict = field(default_factory=dict, repr=False)  # terms that no example has -> places of their own
     seen: dict = field(default_factory=dict, repr=False)
 
-    @property
-    def weights(self) -> np.ndarray:
-        """The postings as a dense matrix, term x example."""
-        out = np.zeros((len(self.terms), self.n))
-        out[np.repeat(np.arange(len(self.terms)), np.diff(self.starts)), self.places] = self.values
-        return out
-
-    def nearest(self, counts: dict[int, int]) -> list[tuple[float, int]]:
-        """Exact k nearest examples of a query of term counts: (cosine, example), the nearest
-        first, ties by the example's place. Examples of cosine 0 aren't neighbours."""
-        at = np.fromiter(counts, np.int64, len(counts))
-        q = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.idf[at]
-        q /= np.linalg.norm(q)
-        many = self.starts[at + 1] - self.starts[at]
-        own = np.arange(many.sum()) + np.repeat(self.starts[at] - np.cumsum(many) + many, many)
-        cosine = np.round(np.bincount(self.places[own], np.repeat(q, many) * self.values[own], self.n), 9)
-        least = np.partition(cosine, self.n - self.k)[self.n - self.k] if self.n > self.k else 0.0
-        some = np.flatnonzero((cosine > 0) & (cosine >= least))
-        some = some[np.lexsort((some, -cosine[some]))[: self.k]]
-        return list(zip(cosine[some].tolist(), some.tolist(), strict=True))
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, unit weights) of a text; terms that no example has have places beyond the index's."""
+        counts = Counter(WORD.findall((text or "").lower()))
+        if len(self.local) + len(self.others) > 400_000:
+            self.local.clear()
+            self.others.clear()
+        known, n = self.terms, len(self.terms)
+        found = []
+        for word in counts:
+            at = self.local.get(word)
+            if at is None:
+                at = tuple(known[t] if t in known else n + self.others.setdefault(t, len(self.others)) for t in _terms(word))
+                if len(word) <= 40:
+                    self.local[word] = at
+            found.append(at)
+        if not found:
+            return np.empty(0, np.int64), np.empty(0)
+        long = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int64, long.sum())
+        at, back = np.unique(flat, return_inverse=True)
+        tf = np.bincount(back, np.repeat(np.fromiter(counts.values(), float, len(counts)), long))
+        weights = (1 + np.log(tf)) * self.weight[np.minimum(at, n)]
+        size = np.linalg.norm(weights)
+        return at, weights / size if size > 0 else weights
+
+    def nearest(self, at: np.ndarray, weights: np.ndarray) -> list[tuple[float, int]]:
+        """Exact k nearest examples of a query vector: (cosine, example), the nearest first, ties by
+        the example's place. Examples of cosine 0 aren't neighbours."""
+        n, examples, blocks, often = len(self.terms), len(self.labels), len(self.frequent), self.maxima.shape[0]
+        if not examples:
+            return []
+        a, b = np.searchsorted(at, [often, n])  # places rise: frequent, rare, other terms
+        rare, mass = at[a:b] - often, weights[a:b]
+        many = self.starts[rare + 1] - self.starts[rare]
+        there = np.arange(many.sum()) + np.repeat(self.starts[rare] - np.cumsum(many) + many, many)
+        part = np.bincount(self.places[there], np.repeat(mass, many) * self.values[there], blocks * BLOCK).reshape(blocks, BLOCK)
+        heavy, mass = at[:a], weights[:a].astype(np.float32)
+        bounds = part.max(axis=1) + mass @ self.maxima[heavy]
+        cosines, places, least = np.empty(0), np.empty(0, np.int64), 0.0
+        order = np.argsort(-bounds, kind="stable")
+        first = -(-self.k // BLOCK)
+        for chosen in (order[:first], order[first : 4 * first], order[4 * first :]):
+            chosen = chosen[(bounds[chosen] > 0) & (bounds[chosen] >= least - 1e-6)]
+            if len(chosen):
+                cosines = np.append(cosines, part[chosen] + np.matmul(mass, self.frequent[chosen[:, None], heavy]))
+                places = np.append(places, (chosen[:, None] * BLOCK + np.arange(BLOCK)).ravel())
+            if len(cosines) > self.k:
+                least = np.partition(cosines, len(cosines) - self.k)[len(cosines) - self.k]
+        cosines = np.round(cosines, 7)
+        best = np.lexsort((places, -cosines))[: self.k]
+        return [(c, i) for c, i in zip(cosines[best].tolist(), places[best].tolist(), strict=True) if c > 0]
 
     def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
         """(score, neighbours) of a text."""
-        known = self.terms
-        counts = Counter([known[w] for w in terms_of(text) if w in known])
-        if not counts:
-            return self.blank, []
-        counts = dict(sorted(counts.items()))
-        key = xxhash.xxh128_digest(np.array([*counts.items()], np.int64).tobytes())
+        if text and len(text) > 200:
+            key = xxhash.xxh128_digest(text.encode("utf-8", "surrogatepass"))
+        else:
+            key = text or ""
         if key not in self.seen:
-            if len(self.seen) >= 5_000:  # about 3 KB each
+            if len(self.seen) >= 2_000:  # about 3 KB each
                 self.seen.clear()
-            near = self.nearest(counts)
-            # closeness 1 / (1.05 - cosine); the base rate votes like one distant neighbour
-            top, total = self.base, 1.0
+            near = self.nearest(*self.vector(text))
+            # closeness 1 / (1.05 - cosine); the base rate votes like a fifth of one distant neighbour
+            top, total = 0.2 * self.base, 0.2
             for c, i in near:
                 v = self.votes[i] / (1.05 - min(c, 1.0))
                 top, total = top + v * self.labels[i], total + v
@@ -91,58 +145,63 @@ class Index:
         return self.seen[key]
 
 
-def fit(rows: list[tuple], totals: dict[int, int], k: int = 25, least_docs: int = 4, least_chi2: float = 25.0, least_phi2: float = 0.0, most_terms: int = 2000) -> Index:
+def term_weights(df: np.ndarray, df1: np.ndarray, n: int, n1: int) -> np.ndarray:
+    """Weights of terms in ``df`` of ``n`` examples, ``df1`` of them among the ``n1`` of label 1: the
+    inverse document frequency times a factor, which is FLOOR, and more by what the log odds ratio
+    of the labels exceeds CHANCE standard errors, to the power POWER."""
+    a, b, n0 = df1, df - df1, n - n1
+    odds = np.log((a + 0.5) / (n1 - a + 0.5)) - np.log((b + 0.5) / (n0 - b + 0.5))
+    error = np.sqrt(1 / (a + 0.5) + 1 / (n1 - a + 0.5) + 1 / (b + 0.5) + 1 / (n0 - b + 0.5))
+    return np.log((1 + n) / (1 + df) + 1e-9) * (FLOOR + np.maximum(0, np.abs(odds) - CHANCE * error)) ** POWER
+
+
+def fit(rows: list[tuple], totals: dict[int, int], k: int = 15) -> Index:
     """``rows``: (id, label, text) of the sample; ``totals``: labelled rows per label in all.
 
-    Texts that repeat count once (the row first in order stays). The terms are those in at least
-    ``least_docs`` examples whose chi-squared statistic against the label, over the sample, is
-    ``least_chi2`` or more and at least the share ``least_phi2`` of the examples (0: the bar is the
-    same at any sample size); of more than ``most_terms``, those with the largest. Without rows, or
-    with one label only, every score is the share of label 1 (0 without any).
+    Texts that repeat count once (the row first in order stays). Without rows every score is the
+    share of label 1 (0 without any).
     """
     unique: dict[str, tuple] = {}
     for r in sorted(rows, key=lambda r: (str(r[0]), r[1])):
-        unique.setdefault(" ".join(terms_of(r[2])), r)
-    rows = sorted(unique.values(), key=lambda r: str(r[0]))
+        words = Counter(WORD.findall((r[2] or "").lower()))
+        unique.setdefault(" ".join(f"{w}:{c}" for w, c in sorted(words.items())), (r[1], words.most_common(1)[0][0] if words else "", *r))
+    # the most frequent word, as a rule of a language, brings texts of one kind into one block
+    rows = [r[2:] for r in sorted(unique.values(), key=lambda r: (r[0], r[1], str(r[2])))]
     y = np.array([r[1] for r in rows], int)
     n, n1 = len(rows), int(y.sum())
     labelled = sum(totals.values())
     base = totals.get(1, 0) / labelled if labelled else 0.0
-    df, df1 = Counter(), Counter()
-    for r, one in zip(rows, y, strict=True):  # texts are cut into words twice, so that no bag of words is kept
-        words = set(terms_of(r[2]))
-        df.update(words)
-        if one:
-            df1.update(words)
-    chosen = []
-    for w, d in df.items():
-        if d >= least_docs and 0 < n1 < n and d < n:
-            a, c = df1[w], n1 - df1[w]
-            b, e = d - a, (n - n1) - (d - a)
-            chi2 = n * (a * e - b * c) ** 2 / (n1 * (n - n1) * d * (n - d))
-            if chi2 >= max(least_chi2, least_phi2 * n):
-                chosen.append((-chi2, w))
-    terms = {w: i for i, (_, w) in enumerate(sorted(chosen)[:most_terms])}
-    idf = np.array([np.log((1 + n) / (1 + df[w])) + 1 for w in terms])
-    at, places, values, kept = [], [], [], []
-    for i, r in enumerate(rows):
-        if counts := Counter([terms[w] for w in terms_of(r[2]) if w in terms]):
-            own = np.fromiter(counts, np.int32, len(counts))
-            v = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * idf[own]
-            at.append(own)
-            places.append(np.full(len(own), len(kept), np.int32))
-            values.append(v / np.linalg.norm(v))
-            kept.append(i)
-    at, places, values = (np.concatenate(x) if kept else np.empty(0, t) for x, t in ((at, np.int32), (places, np.int32), (values, float)))
-    order = np.argsort(at, kind="stable")
-    starts = np.searchsorted(at[order], np.arange(len(terms) + 1))
-    # what one example of a class stands for among all labelled rows
+    terms: dict[str, int] = {}
+    cols, counts = [], []
+    for r in rows:  # one bag of terms at a time
+        bag = terms_of(r[2])
+        cols.append(np.fromiter((terms.setdefault(t, len(terms)) for t in bag), np.int32, len(bag)))
+        counts.append(np.fromiter(bag.values(), np.float32, len(bag)))
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(c) for c in cols])
+    col = np.concatenate([np.empty(0, np.int32), *cols])
+    tf = np.concatenate([np.empty(0, np.float32), *counts])
+    df = np.bincount(col, minlength=len(terms)).astype(float)
+    order = np.argsort(-df, kind="stable")
+    df, place = df[order], np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order))
+    col, terms = place[col], {t: int(place[i]) for t, i in terms.items()}
+    weight = term_weights(np.append(df, 0), np.append(np.bincount(col, y[row], len(terms)), 0), n, n1) if n else np.zeros(1)
+    values = (1 + np.log(tf)) * weight[col]
+    size = np.sqrt(np.bincount(row, values**2, n))
+    values = (values / np.where(size > 0, size, 1)[row]).astype(np.float32)
+    often, blocks = int((df * FREQUENT > n).sum()), -(-n // BLOCK)
+    heavy = col < often
+    frequent = np.zeros((blocks, often, BLOCK), np.float32)
+    frequent[row[heavy] // BLOCK, col[heavy], row[heavy] % BLOCK] = values[heavy]
+    col, row, values = col[~heavy] - often, row[~heavy], values[~heavy]
+    order = np.argsort(col, kind="stable")
+    starts = np.searchsorted(col[order], np.arange(len(terms) - often + 1))
     share = {1: base / max(n1, 1), 0: (1 - base) / max(n - n1, 1)}
     scale = 1 / max(share.values()) if n else 1.0
-    empty = sorted(set(range(n)).difference(kept))
-    e1, e0 = sum(share[1] for i in empty if y[i]), sum(share[0] for i in empty if not y[i])
-    blank = (e1 + base / max(n, 1)) / (e1 + e0 + 1 / max(n, 1)) if n else base
-    return Index(terms, idf, starts, places[order], values[order], y[kept], [rows[i][0] for i in kept], np.array([share[int(y[i])] * scale for i in kept]), base, float(min(1, max(0, blank))), len(kept), k)
+    return Index(
+        terms, weight, starts, row[order], values[order], frequent, frequent.max(axis=2).T.copy(),
+        y, [r[0] for r in rows], np.array([share[int(i)] * scale for i in y]), base, k,
+    )
 
 
 def labelled_ids(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", doc_id: str = "doc_id", held_out: Column | None = None) -> DataFrame:
@@ -153,31 +212,33 @@ def labelled_ids(docs: DataFrame, labels: DataFrame, label: str = "toxic", text:
     return own.where("not held").join(marks, "id").select("id", "label", "chars")
 
 
-def sample_and_fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", doc_id: str = "doc_id", held_out: Column | None = None, examples: int = 4000, most_chars: int = 20_000, **options) -> Index:
+def sample_and_fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", doc_id: str = "doc_id", held_out: Column | None = None, examples: int = 1500, most_chars: int = 10_000, **options) -> Index:
     """Fit on at most about ``examples`` rows for each label, drawn by a hash of the id among the
-    labelled rows of at most ``most_chars`` characters. Both bounds hold at any input size. Only
-    ids and lengths are joined to the labels; texts are read for the drawn rows alone."""
-    short = cut(labelled_ids(docs, labels, label, text, doc_id, held_out).where(F.col("chars") <= most_chars).select("id", "label"))
-    totals = {r.label: r.n for r in short.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    labelled rows of at most ``most_chars`` characters. Both bounds hold at any input size; the base
+    rate counts all labelled rows. Only ids and lengths are joined to the labels; texts are read for
+    the drawn rows alone."""
+    marked = cut(labelled_ids(docs, labels, label, text, doc_id, held_out))
+    counted = marked.groupBy("label").agg(F.count("*").alias("n"), F.count(F.when(F.col("chars") <= most_chars, 1)).alias("short")).collect()
+    totals, short = {r.label: r.n for r in counted}, {r.label: r.short for r in counted}
     if not totals:
         return fit([], totals, **options)
     at = F.pmod(F.xxhash64("id", F.lit(61)), F.lit(1 << 40)) / float(1 << 40)
-    limit = F.when(F.col("label") == 1, min(1.0, examples / max(totals.get(1, 0), 1))).otherwise(min(1.0, examples / max(totals.get(0, 0), 1)))
-    ids = F.broadcast(short.where(at <= limit).distinct())  # about 2 * examples rows
+    limit = F.when(F.col("label") == 1, min(1.0, examples / max(short.get(1, 0), 1))).otherwise(min(1.0, examples / max(short.get(0, 0), 1)))
+    ids = F.broadcast(marked.where((F.col("chars") <= most_chars) & (at <= limit)).select("id", "label").distinct())  # about 2 * examples rows
     body = F.coalesce(F.col(text), F.lit(""))
-    drawn = docs.select(F.col(doc_id).alias("id"), body.alias("text")).where(F.length("text") <= most_chars).join(ids, "id")
-    return fit([(r.id, r.label, r.text) for r in drawn.select("id", "label", "text").distinct().collect()], totals, **options)
+    drawn = docs.select(F.col(doc_id).alias("id"), body.alias("text")).where(F.length("text") <= most_chars).join(ids, "id").select("id", "label", "text").distinct().toArrow()
+    return fit(list(zip(*(drawn.column(c).to_pylist() for c in ("id", "label", "text")), strict=True)), totals, **options)
 
 
 def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", doc_id: str = "doc_id", evidence: int = 3) -> DataFrame:
     """``docs`` with score (0 to 1), predicted (1 if the score is 0.5 or more) and evidence (the
     ids of the nearest examples, as text). These take the place of columns of those names.
 
-    Null and empty texts, and texts without any of the index's terms, get the share of label 1
-    among such examples. Whole texts count, whatever their length; rows that repeat score alike.
+    Texts without any term that an example has, null and empty ones too, get the share of label 1
+    among the labelled rows. Whole texts count, whatever their length; rows that repeat score alike.
     """
     prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the postings of 2 * examples texts
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by 2 * examples texts of most_chars characters
     kept = [c for c in docs.columns if c not in ("score", "predicted", "evidence")]
 
     def run(batches):
@@ -189,8 +250,6 @@ def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", doc_id: s
             why = pa.array([[str(model.ids[i]) for _, i in near[:evidence]] for _, near in found], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], scores, said, why], [*kept, "score", "predicted", "evidence"])
 
-    from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructType
-
     schema = StructType([docs.schema[c] for c in kept]).add("score", DoubleType()).add("predicted", IntegerType()).add("evidence", ArrayType(StringType()))
     return docs.select(*kept, docs[text].alias("__text")).mapInArrow(run, schema)
 
