@@ -48,3 +48,26 @@ def test_totals_reach_every_row(spark):
     out = with_totals(df, ["k"], {"n": (F.count("*"), F.sum), "top": (F.max("id"), F.max)})
     got = {(r.id, r.n, r.top) for r in out.collect()}
     assert got == {(i, 400 if i % 3 else 1, 599 if i % 3 else i) for i, _ in rows}
+
+
+def test_edges_are_made_once(spark):
+    """The rounds and the search for loops read the cut edges, not what made them."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    edges = spark.range(500, numPartitions=3).selectExpr("id as src", "id div 2 as dst").mapInPandas(count, "src long, dst long")
+    assert connected_components(edges).where("component = 0").count() == 500
+    assert made.value == 500
+
+
+def test_totals_in_order_equal_totals(spark):
+    rows = [(i, "hot" if i % 3 else f"k{i}") for i in range(600)]
+    df = deal(spark.createDataFrame(rows, "id long, k string"), ["k"], F.xxhash64("id"))
+    out = with_totals(df, ["k"], {"n": (F.count("*"), F.sum), "top": (F.max(F.struct("id")), F.max)}, in_order=True)
+    got = {(r.id, r.n, r.top.id) for r in out.collect()}
+    assert got == {(i, 400 if i % 3 else 1, 599 if i % 3 else i) for i, _ in rows}
+    assert "SortAggregate" in out._jdf.queryExecution().executedPlan().toString()

@@ -43,9 +43,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
 
     Self loops, repeated and reversed edges are fine; edges with a null end are ignored. A node
     whose only edges are loops forms its own component. Each round is checkpointed in the shared
-    folder. Rounds grow with the logarithm of the longest path; running out of them is an error.
+    folder, and so are the edges, which are made once. Rounds grow with the logarithm of the longest path; running out of them is an error.
     """
-    given = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
+    given = cut(edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null").distinct())
     loops = given.where("u = v").select(F.col("u").alias("node"))
     now = cut(given.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     for _ in range(max_rounds):

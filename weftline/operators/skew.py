@@ -31,23 +31,27 @@ def deal(df: DataFrame, keys: list[str], spread: Column, fan_in: int = 16, least
     return df.withColumn(RUN, F.pmod(spread, F.lit(runs)).cast("int")).repartition(*keys, RUN)
 
 
-def tree_levels(dealt: DataFrame, keys: list[str], aggs: dict[str, tuple[Column, Merge]], fan_in: int = 16, least: int = 256) -> list[DataFrame]:
+def tree_levels(dealt: DataFrame, keys: list[str], aggs: dict[str, tuple[Column, Merge]], fan_in: int = 16, least: int = 256, in_order: bool = False) -> list[DataFrame]:
     """Partial results by (key, run), from single runs up to the root; the last has no run column.
 
     ``aggs`` maps an output name to (aggregate over rows, how to merge partial results of that name).
+    ``in_order`` sorts what meets by key, so that runs are sorted and aggregates whose states have
+    no fixed width (of structs, say) are merged as streams.
     """
     runs = run_count(dealt, fan_in, least)
-    levels = [dealt.groupBy(*keys, RUN).agg(*[first.alias(name) for name, (first, _) in aggs.items()])]
+    met = lambda df, by: df.repartition(*by).sortWithinPartitions(*by) if in_order else df
+    merges = [merge(F.col(name)).alias(name) for name, (_, merge) in aggs.items()]
+    levels = [(dealt.sortWithinPartitions(*keys, RUN) if in_order else dealt).groupBy(*keys, RUN).agg(*[first.alias(name) for name, (first, _) in aggs.items()])]
     while runs > fan_in:
         runs //= fan_in
-        levels.append(levels[-1].withColumn(RUN, F.floor(F.col(RUN) / fan_in).cast("int")).groupBy(*keys, RUN).agg(*[merge(F.col(name)).alias(name) for name, (_, merge) in aggs.items()]))
-    levels.append(levels[-1].groupBy(*keys).agg(*[merge(F.col(name)).alias(name) for name, (_, merge) in aggs.items()]))
+        levels.append(met(levels[-1].withColumn(RUN, F.floor(F.col(RUN) / fan_in).cast("int")), [*keys, RUN]).groupBy(*keys, RUN).agg(*merges))
+    levels.append(met(levels[-1], keys).groupBy(*keys).agg(*merges))
     return levels
 
 
-def with_totals(dealt: DataFrame, keys: list[str], aggs: dict[str, tuple[Column, Merge]], fan_in: int = 16, least: int = 256) -> DataFrame:
+def with_totals(dealt: DataFrame, keys: list[str], aggs: dict[str, tuple[Column, Merge]], fan_in: int = 16, least: int = 256, in_order: bool = False) -> DataFrame:
     """Rows of ``deal`` with the totals of their group. Keys must not be null."""
-    *partial, down = tree_levels(dealt, keys, aggs, fan_in, least)
+    *partial, down = tree_levels(dealt, keys, aggs, fan_in, least, in_order)
     for depth in range(len(partial) - 1, 0, -1):
         # rows of one level and key: at most fan_in share a parent
         side = partial[depth].select(*keys, RUN)
