@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.session import prepare
+from weftline.session import cut, prepare
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -24,3 +24,11 @@ def ascii_lower(text: Column) -> Column:
 def remainder(doc_id: Column, of: int) -> Column:
     """crc32 of the id as text, modulo ``of``; null for a null id."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(of))
+
+
+def without(docs: DataFrame, gone: DataFrame, on: list[Column], most: int = 200_000) -> DataFrame:
+    """The rows of ``docs`` for which no row of ``gone`` meets all of ``on``; columns as they are.
+    ``gone`` is broadcast if it has at most ``most`` rows, which spares a shuffle of the texts."""
+    gone = cut(gone)
+    few = gone.limit(most + 1).count() <= most
+    return docs.join(F.broadcast(gone) if few else gone, on, "left_anti")
