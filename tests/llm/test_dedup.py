@@ -80,6 +80,23 @@ def test_simhash_edge_rows(spark):
     assert ids.count(None) == 2  # a null id says nothing of which row stays, so it does
 
 
+def test_grid_reaches_all_near_codes_in_few_cells(spark):
+    """Codes within a step in one half meet; no fingerprint has more than 34 cells."""
+    rng = random.Random(6)
+    rows = []
+    for _ in range(200):
+        a = b = rng.getrandbits(64)
+        for _ in range(rng.randrange(1, 4)):
+            b ^= 1 << rng.randrange(64)
+        rows.append([int(np.uint64(x).view(np.int64)) for x in (a, b)])
+    code = lambda c: F.expr(f"({c} | shiftrightunsigned({c}, 1)) & {simhash.EVEN}L | shiftleft({c} & shiftrightunsigned({c}, 1) & {simhash.EVEN}L, 1)")
+    cells = lambda c, half: simhash._reached(code(c), half, 1)
+    both = [F.arrays_overlap(cells("a", h), cells("b", h)) for h in simhash.HALVES]
+    many = [F.size(cells("a", h)) for h in simhash.HALVES]
+    got = spark.createDataFrame(rows, "a long, b long").select((both[0] | both[1]).alias("met"), (many[0] + many[1]).alias("n")).collect()
+    assert all(r.met and 2 <= r.n <= 34 for r in got)
+
+
 @pytest.mark.parametrize("tile", [4096, 16])
 def test_near_links_of_clusters(spark, tile):
     rng = random.Random(2)

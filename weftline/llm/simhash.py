@@ -5,27 +5,25 @@ is written in unary (00, 01, 11), so that the Manhattan distance of two vectors
 the number of bits in which their codes differ. It never exceeds the Hamming distance of the
 fingerprints, and so bounds it from below.
 
-The grid's axes are the segments, in ``k`` blocks. Fingerprints within Manhattan distance
-``max_bits`` agree in at least ``k - max_bits`` whole blocks, so a join on every choice of that
-many blocks (a cell) finds each near pair. k grows with the logarithm of the number of
-fingerprints, which holds the expected number of strangers in a cell down. Cells larger
-than a tile are cut into tiles whose pairs cover the cell. In a tile the candidates pass the
-Manhattan bound, then the exact distance, and only a spanning forest of the links leaves it:
+The grid's axes are the segments. Of two fingerprints within Manhattan distance ``max_bits`` (3),
+one half of the axes lies within ``max_bits // 2`` (1): a range join over each half's grid finds
+them. Each fingerprint stands in the cell of its own counts and in the neighbouring cells that lie
+a step up in one axis (in up to ``max_bits // 2`` axes); the lower of two near fingerprints meets
+the upper one in the upper one's cell. That makes about 26 rows for a fingerprint, however many
+there are. Cells larger than a tile are cut into tiles whose pairs cover the cell. In a tile the
+candidates pass the Manhattan bound, then the exact distance, and only a spanning forest of the links leaves it:
 links lost this way join fingerprints that the forest already joins, so components are exact.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-from math import comb
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import table
+from weftline.llm.common import table, without
 from weftline.operators.components import connected_components
 from weftline.operators.skew import deal, with_totals
 from weftline.session import cut
@@ -33,6 +31,8 @@ from weftline.session import cut
 SEED, BITS, SEGMENTS = 42, 64, 32
 PIECE = 1 << 15
 EVEN = 0x5555555555555555
+#: The halves of the axes, each as its segments.
+HALVES = (range(0, SEGMENTS // 2), range(SEGMENTS // 2, SEGMENTS))
 
 
 def fingerprint(text: str | None, words: int = 3, seed: int = SEED) -> int:
@@ -73,21 +73,19 @@ def unary(fp: np.ndarray) -> np.ndarray:
     return a | b | ((a & b) << np.uint64(1))
 
 
-def block_count(n: int, max_bits: int) -> int:
-    """The fewest blocks with at most one expected stranger per fingerprint, over all its cells."""
-    per_segment = 1.415  # bits of collision entropy of a two-bit segment's count
-    for k in range(max_bits + 2, SEGMENTS + 1):
-        keys = comb(k, max_bits)
-        if keys * n / 2 ** (per_segment * SEGMENTS * (k - max_bits) / k) <= 1:
-            return k
-    return SEGMENTS
+def _signed(mask: int) -> Column:
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long")
 
 
-def block_masks(k: int, max_bits: int) -> list[int]:
-    """For every choice of k - max_bits blocks, the bits of a code that they cover."""
-    edges = [round(i * SEGMENTS / k) for i in range(k + 1)]
-    blocks = [sum(0b11 << (2 * s) for s in range(a, b)) for a, b in zip(edges, edges[1:], strict=False)]
-    return [sum(c) for c in combinations(blocks, k - max_bits)]
+def _reached(code: Column, half: range, steps: int) -> Column:
+    """The cells of one half of the axes that lie at most ``steps`` up from a unary code: an array."""
+    own = code.bitwiseAND(_signed(sum(3 << (2 * s) for s in half)))
+    found = F.array(own)
+    for _ in range(steps):
+        # one up: no set bit becomes one, one becomes two, and two have no neighbour
+        ups = lambda c: F.array(*[F.when(c.bitwiseAND(_signed(1 << (2 * s))) == 0, c.bitwiseOR(_signed(1 << (2 * s)))).when(c.bitwiseAND(_signed(2 << (2 * s))) == 0, c.bitwiseOR(_signed(2 << (2 * s)))) for s in half])
+        found = F.array_distinct(F.concat(found, F.filter(F.flatten(F.transform(found, ups)), lambda c: c.isNotNull())))
+    return found
 
 
 def _forest(fp: np.ndarray, code: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -154,14 +152,13 @@ def near_links(fps: DataFrame, max_bits: int = 3, tile: int = 4096, most_hot: in
     hot, so they are broadcast; whether a cell is called hot never changes the components.
     """
     n = fps.count()
-    k = block_count(n, max_bits)
-    masks = [m - (1 << 64) if m >> 63 else m for m in block_masks(k, max_bits)]
     code = F.expr(f"(fp | shiftrightunsigned(fp, 1)) & {EVEN}L | shiftleft(fp & shiftrightunsigned(fp, 1) & {EVEN}L, 1)")
     # a cell's key; cells that share a key by chance only meet candidates more
-    keys = F.array(*[F.xxhash64(F.lit(i), F.col("code").bitwiseAND(F.lit(m))) for i, m in enumerate(masks)])
+    keyed = lambda i: lambda c: F.xxhash64(F.lit(i), c)
+    keys = F.concat(*[F.transform(_reached(F.col("code"), half, max_bits // 2), keyed(i)) for i, half in enumerate(HALVES)])
     cells = fps.select("fp", code.alias("code")).select("fp", F.explode(keys).alias("cell"))
     sampled = 16 if tile >= 64 else 1
-    limit = max(tile, len(masks) * n // most_hot)
+    limit = max(tile, 26 * n // most_hot)
     part = cells.where(F.pmod(F.xxhash64("fp", F.lit(5)), F.lit(sampled)) == 0)
     hot = part.groupBy("cell").agg((F.count("*") * sampled).alias("n")).where(F.col("n") > limit).select("cell", F.ceil(F.col("n") / tile).cast("int").alias("chunks"))
     known = cells.join(F.broadcast(hot), "cell", "left").withColumn("own", F.pmod(F.xxhash64("fp", F.lit(6)), F.col("chunks")).cast("int"))
@@ -199,7 +196,7 @@ def simhash_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     """The rows of ``docs`` whose id is the least of its group, and rows without an id; all columns
     as they are. Ids name documents: rows that share an id stay or go together."""
     gone = simhash_groups(docs, text, doc_id, words, max_bits, seed).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
+    return without(docs, gone, [docs[doc_id] == gone["__gone"]])
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
