@@ -1,5 +1,5 @@
 import corpus_pipeline
-from weftline.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from weftline.llm import bpe, exact_dedup, mixing, shingle_dedup, toxicity
 from weftline.llm.queries import ORACLE, QUERIES
 
 
@@ -15,7 +15,7 @@ def test_stages_against_their_operators(spark, sf):
     scores = {r.doc_id for r in toxicity.op6_toxicity(spark, sf).where("predicted = 0").select("doc_id").collect()}
     assert ids[1] == scores
     assert ids[2] == {r.doc_id for r in exact_dedup.exact_groups(frames[1]).where("kept").collect()}
-    assert ids[3] == {r.doc_id for r in simhash.simhash_groups(frames[2]).where("doc_id = component_id").collect()}
+    assert ids[3] == {r.doc_id for r in shingle_dedup.shingle_groups(frames[2]).where("doc_id = component_id").collect()}
     assert ids[4] == {r.doc_id for r in mixing.with_probabilities(frames[3]).where("kept").collect()}
     text = {r.doc_id: r.text or "" for r in frames[4].collect()}
     codec = bpe.Codec(bpe.vocabulary())

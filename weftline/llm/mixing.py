@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import table
+from weftline.llm.common import table, without
 from weftline.session import cut, prepare
 
 AXES = ("source", "lang", "topic")
@@ -88,7 +88,7 @@ def _rake_far(cells: DataFrame, targets: list[dict[str, float] | None], power: f
             margin = now.groupBy(axis).agg(F.sum("raked").alias("m")).join(goal, axis).select(axis, F.when(F.col("m") > 0, F.col("g") / F.col("m")).otherwise(1.0).alias("step"))
             now = now.join(margin, axis).withColumn("raked", F.col("raked") * F.col("step")).withColumn("off", F.greatest("off", F.abs(F.col("step") - 1) * (F.col("raked") > 0).cast("int"))).drop("step")
         now = cut(now)
-        if (now.agg(F.max("off")).first()[0] or 0.0) < 1e-8:
+        if (now.agg(F.max("off")).first()[0] or 0.0) < 1e-10:
             break
         now = now.drop("off")
     return now.select(*AXES, "natural", "raked")
@@ -154,7 +154,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, pow
     gone = with_probabilities(docs, targets, power, **columns).where("not kept").select(F.col("doc_id").alias("__gone"), F.col("draw").alias("__draw")).distinct()
     doc_id, text = columns.get("doc_id", "doc_id"), columns.get("text", "text")
     draw = F.pmod(F.xxhash64(F.coalesce(docs[doc_id].cast("string"), docs[text], F.lit("")), F.lit(77)), F.lit(1 << 53)) / float(1 << 53)
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["__gone"]) & (draw == gone["__draw"]), "left_anti")
+    return without(docs, gone, [docs[doc_id].eqNullSafe(gone["__gone"]), draw == gone["__draw"]])
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
