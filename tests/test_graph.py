@@ -27,14 +27,17 @@ def brute(edges):
 def test_components_match_union_find(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(35)] + [(i, i + 1) for i in range(100, 130)] + [(200, 200 + i) for i in range(30)] + [(7, None), (500, 500)]
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
-    assert got == brute(edges)
+    for few in (0, 100_000):
+        got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "src long, dst long"), few=few).collect()}
+        assert got == brute(edges)
+    text = [(f"n{a}", f"n{b}") for a, b in edges if a is not None and b is not None]
+    assert {r.node: r.component for r in connected_components(spark.createDataFrame(text, "src string, dst string")).collect()} == brute(text)
 
 
 def test_components_with_hot_nodes(spark, monkeypatch):
     monkeypatch.setattr(components, "HOT_EDGES", 3)
     edges = [(1000, i) for i in range(40)] + [(i, i + 1) for i in range(50, 70)] + [(i % 7 + 80, i) for i in range(100, 150)] + [(5, 60)]
-    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "src long, dst long"), few=0).collect()}
     assert got == brute(edges)
 
 
@@ -60,8 +63,9 @@ def test_edges_are_made_once(spark):
             yield b
 
     edges = spark.range(500, numPartitions=3).selectExpr("id as src", "id div 2 as dst").mapInPandas(count, "src long, dst long")
-    assert connected_components(edges).where("component = 0").count() == 500
-    assert made.value == 500
+    for n, few in enumerate((0, 1000), 1):
+        assert connected_components(edges, few=few).where("component = 0").count() == 500
+        assert made.value == n * 500
 
 
 def test_totals_in_order_equal_totals(spark):
