@@ -15,40 +15,50 @@ def split(t):
     return [*WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")), None]
 
 
-def walk(rows, prior=lm_score.PRIOR):
-    """rows: (id, text, train); the automaton's arcs in plain dicts, walked token by token."""
-    uni, bi, ctx = Counter(), Counter(), Counter()
+def walk(rows, prior=lm_score.PRIOR, order=lm_score.ORDER):
+    """rows: (id, text, train); states, arcs and failure arcs in plain dicts, walked token by token."""
+    seen, ctx = Counter(), Counter()
+    uni = Counter()
     for _, t, train in rows:
         if train:
-            last = "start "
-            for w in split(t):
-                uni[w] += 1
-                bi[last, w] += 1
-                ctx[last] += 1
-                last = w
-    n, v = sum(uni.values()), len(uni)
-    p = lambda w: (uni[w] + 0.5) / (n + 0.5 * (v + 1))
+            words = ["start ", *split(t)]
+            uni.update(words[1:])
+            for i in range(1, len(words)):
+                for n in range(2, order + 1):
+                    if i - n + 1 >= 0:
+                        gram = tuple(words[i - n + 1 : i + 1])
+                        seen[gram] += 1
+                        ctx[gram[:-1]] += 1
+    total, distinct = sum(uni.values()), len(uni)
+
+    def p(context, w):
+        if not context:
+            return (uni[w] + 0.5) / (total + 0.5 * (distinct + 1))
+        return (seen[(*context, w)] + prior * p(context[1:], w)) / (ctx[context] + prior)
+
     out = []
     for i, t, _ in rows:
-        state, base, score = "start ", 0.0, 0.0
+        state, base, score = ("start ",), 0.0, 0.0
         for w in split(t):
-            base += math.log10(p(w))
-            if bi[state, w]:
-                score += math.log10((bi[state, w] + prior * p(w)) / (ctx[state] + prior))
-            else:
-                score += math.log10(prior / (ctx[state] + prior)) + math.log10(p(w))
-            state = w
-        out.append((i, len(split(t)), sum(uni[w] > 0 for w in split(t)), n, base, score))
+            base += math.log10(p((), w))
+            while state and not seen[(*state, w)]:
+                score += math.log10(prior / (ctx[state] + prior))
+                state = state[1:]
+            score += math.log10(p(state, w))
+            state = (*state, w)[-(order - 1) :]
+            while state and not (seen[state] if len(state) > 1 else uni[state[0]]):
+                state = state[1:]
+        out.append((i, len(split(t)), sum(uni[w] > 0 for w in split(t)), total, base, score))
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block_chars", [4_000_000, 20_000])
-def test_scores_match_a_plain_walk(spark, sf, block_chars):
+@pytest.mark.parametrize(("block_chars", "order"), [(4_000_000, 3), (20_000, 3), (50_000, 4), (50_000, 2)])
+def test_scores_match_a_plain_walk(spark, sf, block_chars, order):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r.doc_id, r.text, zlib.crc32(str(r.doc_id).encode()) % 5 != 1) for r in docs.collect()]
     held = lm_score.remainder(F.col("doc_id"), 5) == 1
-    got = lm_score.lm_scores(docs, ~held, block_chars=block_chars).collect()
-    for g, w in zip(sorted((tuple(r) for r in got), key=str), walk(rows), strict=True):
+    got = lm_score.lm_scores(docs, ~held, block_chars=block_chars, order=order).collect()
+    for g, w in zip(sorted((tuple(r) for r in got), key=str), walk(rows, order=order), strict=True):
         assert g[:4] == w[:4] and g[4] == pytest.approx(w[4], rel=1e-9) and g[5] == pytest.approx(w[5], rel=1e-9)
     # bigrams tell more than unigrams on texts that weren't learned from
     out = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % 5 == 1]
@@ -64,3 +74,21 @@ def test_edges(spark):
     assert lm_score.lm_scores(df.limit(0), F.col("learn")).count() == 0
     none = lm_score.lm_scores(df, F.lit(False)).collect()
     assert {r.n_known for r in none} == {0} and all(r.score == pytest.approx(r.base_score) == pytest.approx(0) for r in none)
+
+
+def test_a_row_of_one_id_and_hot_ids_split(spark):
+    """Rows of one id, or of none, are dealt like any others."""
+    df = spark.range(400, numPartitions=4).select(F.lit(7).alias("doc_id"), F.lit("the very same words again").alias("text"))
+    got = lm_score.lm_scores(df, F.lit(True), block_chars=500).collect()
+    assert len(got) == 400 and {r.train_tokens for r in got} == {2400} and len({r.score for r in got}) == 1
+
+
+def test_messages_follow_the_blocks():
+    """A block's messages number its ranges, whatever other blocks there are; keys keep all bits."""
+    import numpy as np
+
+    keys = np.unique(np.random.default_rng(1).integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+    sent = lm_score._messages(3, 2, keys, np.ones(len(keys), np.int64), 64, 0)
+    assert len(sent) == 64
+    back = np.concatenate([np.cumsum(lm_score._unplanes(k.as_py()), dtype=np.uint64) for k in sent.column("keys")])
+    assert (back == keys).all()
