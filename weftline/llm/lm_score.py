@@ -23,6 +23,7 @@ the answers to a block.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,7 @@ END, START = b" end", b" start"  # no word holds a space
 PRIOR, ORDER = 8.0, 3
 LEAST_RANGES = 64
 DIGEST = xxhash.xxh64_intdigest
+PRESS = zstandard.ZstdCompressor(level=1)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -60,7 +62,7 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _planes(values: np.ndarray) -> bytes:
     """Integers byte plane by byte plane, so that high bytes, mostly zero, compress."""
-    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
+    return PRESS.compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def _unplanes(raw: bytes) -> np.ndarray:
@@ -153,20 +155,21 @@ class Automaton:
                 arcs.append(origin[seen] * self.width + block.token[at[seen]])
                 weights.append(np.log10(p[seen]))
                 targets.append((state[n][seen] if n < order - 1 else state[n - 1][place[at[seen]]]))
-        self.weight, self.target = np.concatenate(weights).tolist(), np.concatenate(targets).tolist()
+        self.weight, self.target = np.concatenate(weights).tolist(), (np.concatenate(targets) * self.width).tolist()
         self.arcs = dict(zip(np.concatenate(arcs).tolist(), range(len(self.weight)), strict=True))
         self.fail, self.back = self.fail.tolist(), self.back.tolist()
 
     def walk(self, text: list[int]) -> float:
         """The log10 probability of a text's words, from the state of the start."""
         arcs, weight, target, fail, back, width = self.arcs.get, self.weight, self.target, self.fail, self.back, self.width
-        state, total = 1, 0.0
+        state, total = width, 0.0  # states are carried times the width, as arcs have them
         for word in text:
-            arc = arcs(state * width + word)
+            arc = arcs(state + word)
             while arc is None:
+                state //= width
                 total += back[state]
-                state = fail[state]
-                arc = arcs(state * width + word)
+                state = fail[state] * width
+                arc = arcs(state + word)
             total += weight[arc]
             state = target[arc]
         return total
@@ -318,6 +321,7 @@ def lm_scores(docs: DataFrame, train, text: str = "text", doc_id: str = "doc_id"
                 yield _messages(row["block"], 2, block.keys[1], block.counts[1], ranges, 0)
 
     def answered(asked: DataFrame) -> DataFrame:
+        _swept(spark)
         return cut(asked.groupBy("range").applyInArrow(_answer, "range int, block long, n int, counts binary, total long, distinct long, starts long"))
 
     told = answered(blocks.drop("columns").mapInArrow(first, ASKED_SQL))
@@ -325,8 +329,6 @@ def lm_scores(docs: DataFrame, train, text: str = "text", doc_id: str = "doc_id"
     total, distinct, starts = (int(x or 0) for x in sums)
     told = told.where("block >= 0").select("block", "n", "range", "counts")
     for n in range(3, order + 1):
-        _swept(spark)
-
         asked = blocks.drop("columns").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_further(n, ranges), ASKED_SQL)
         told = told.unionByName(answered(asked).select("block", "n", "range", "counts"))
         del asked
@@ -352,8 +354,9 @@ def lm_scores(docs: DataFrame, train, text: str = "text", doc_id: str = "doc_id"
 
 
 def _swept(spark: SparkSession) -> None:
-    """Have the JVM notice that shuffles before the last checkpoint are out of use, so that Spark
-    removes their files now and not at its next full collection."""
+    """Have both sides of the driver notice that shuffles before the last checkpoint are out of use, so
+    that Spark removes their files now and not at its next full collection."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
