@@ -26,6 +26,12 @@ def remainder(doc_id: Column, of: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(of))
 
 
+def slices(batch, rows: int = 500):
+    """A record batch in pieces, so that what is made of its texts stays small."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows)
+
+
 def without(docs: DataFrame, gone: DataFrame, on: list[Column], most: int = 200_000) -> DataFrame:
     """The rows of ``docs`` for which no row of ``gone`` meets all of ``on``; columns as they are.
     ``gone`` is broadcast if it has at most ``most`` rows, which spares a shuffle of the texts."""

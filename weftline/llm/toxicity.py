@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructType
 
-from weftline.llm.common import remainder, table
+from weftline.llm.common import remainder, slices, table
 from weftline.session import cut, prepare
 
 WORD = re.compile(r"\w+")
@@ -77,7 +77,7 @@ class Index:
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, unit weights) of a text; terms that no example has have places beyond the index's."""
         counts = Counter(WORD.findall((text or "").lower()))
-        if len(self.local) + len(self.others) > 400_000:
+        if len(self.local) + len(self.others) > 150_000:
             self.local.clear()
             self.others.clear()
         known, n = self.terms, len(self.terms)
@@ -133,7 +133,7 @@ class Index:
         else:
             key = text or ""
         if key not in self.seen:
-            if len(self.seen) >= 2_000:  # about 3 KB each
+            if len(self.seen) >= 1_000:  # about 3 KB each
                 self.seen.clear()
             near = self.nearest(*self.vector(text))
             # closeness 1 / (1.05 - cosine); the base rate votes like a fifth of one distant neighbour
@@ -230,8 +230,8 @@ def sample_and_fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", tex
     return fit(list(zip(*(drawn.column(c).to_pylist() for c in ("id", "label", "text")), strict=True)), totals, **options)
 
 
-def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", doc_id: str = "doc_id", evidence: int = 3) -> DataFrame:
-    """``docs`` with score (0 to 1), predicted (1 if the score is 0.5 or more) and evidence (the
+def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", evidence: int = 3, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with score (0 to 1), predicted (1 if the score is 0.5 or more) and evidence (the
     ids of the nearest examples, as text). These take the place of columns of those names.
 
     Texts without any term that an example has, null and empty ones too, get the share of label 1
@@ -239,30 +239,34 @@ def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", doc_id: s
     """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by 2 * examples texts of most_chars characters
-    kept = [c for c in docs.columns if c not in ("score", "predicted", "evidence")]
+    kept = [c for c in docs.columns if c not in ("score", "predicted", "evidence") and (keep is None or c in keep)]
+    # the text goes to the workers once, and back only where it is kept
+    sent = docs.select(*kept) if text in kept else docs.select(*kept, docs[text].alias("__text"))
+    at = kept.index(text) if text in kept else len(kept)
 
     def run(batches):
         model = shared.value
-        for b in batches:
-            found = [model.score(t.as_py()) for t in b.columns[-1]]
-            scores = pa.array([s for s, _ in found], pa.float64())
-            said = pa.array([int(s >= 0.5) for s, _ in found], pa.int32())
-            why = pa.array([[str(model.ids[i]) for _, i in near[:evidence]] for _, near in found], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], scores, said, why], [*kept, "score", "predicted", "evidence"])
+        for whole in batches:
+            for b in slices(whole):
+                found = [model.score(t.as_py()) for t in b.columns[at]]
+                scores = pa.array([s for s, _ in found], pa.float64())
+                said = pa.array([int(s >= 0.5) for s, _ in found], pa.int32())
+                why = pa.array([[str(model.ids[i]) for _, i in near[:evidence]] for _, near in found], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], scores, said, why], [*kept, "score", "predicted", "evidence"])
 
     schema = StructType([docs.schema[c] for c in kept]).add("score", DoubleType()).add("predicted", IntegerType()).add("evidence", ArrayType(StringType()))
-    return docs.select(*kept, docs[text].alias("__text")).mapInArrow(run, schema)
+    return sent.mapInArrow(run, schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose predicted label is 0, columns as they are."""
     index = sample_and_fit(docs, labels, held_out=F.coalesce(remainder(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1], F.lit(False)))
     named = docs.select([F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns])
-    return toxicity_scores(named, index, "in_text", "in_doc_id").where("predicted = 0").select([F.col(f"`in_{c}`").alias(c) for c in docs.columns])
+    return toxicity_scores(named, index, "in_text").where("predicted = 0").select([F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held = F.coalesce(remainder(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1], F.lit(False))
     index = sample_and_fit(docs, labels, held_out=held)
-    return toxicity_scores(docs.select("doc_id", held.alias("held_out"), "text"), index).select("doc_id", "held_out", "score", "predicted", "evidence")
+    return toxicity_scores(docs.select("doc_id", held.alias("held_out"), "text"), index, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "score", "predicted", "evidence")
