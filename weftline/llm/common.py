@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,13 @@ def remainder(doc_id: Column, of: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(of))
 
 
+def sweep(spark: SparkSession) -> None:
+    """Have both sides of the driver notice that shuffles before the last checkpoint are out of use, so
+    that Spark removes their files now and not at its next full collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(batch, rows: int = 500):
     """A record batch in pieces, so that what is made of its texts stays small."""
     for at in range(0, len(batch), rows):

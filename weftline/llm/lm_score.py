@@ -23,7 +23,6 @@ the answers to a block.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
-from weftline.llm.common import remainder, table
+from weftline.llm.common import remainder, sweep, table
 from weftline.session import cut, prepare
 
 HELD_OUT = (5, 1)
@@ -321,7 +320,7 @@ def lm_scores(docs: DataFrame, train, text: str = "text", doc_id: str = "doc_id"
                 yield _messages(row["block"], 2, block.keys[1], block.counts[1], ranges, 0)
 
     def answered(asked: DataFrame) -> DataFrame:
-        _swept(spark)
+        sweep(spark)
         return cut(asked.groupBy("range").applyInArrow(_answer, "range int, block long, n int, counts binary, total long, distinct long, starts long"))
 
     told = answered(blocks.drop("columns").mapInArrow(first, ASKED_SQL))
@@ -332,7 +331,7 @@ def lm_scores(docs: DataFrame, train, text: str = "text", doc_id: str = "doc_id"
         asked = blocks.drop("columns").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_further(n, ranges), ASKED_SQL)
         told = told.unionByName(answered(asked).select("block", "n", "range", "counts"))
         del asked
-    _swept(spark)
+    sweep(spark)
 
     def score(part: pa.Table, answers: pa.Table) -> pa.Table:
         row = part.to_pylist()[0]
@@ -353,13 +352,6 @@ def lm_scores(docs: DataFrame, train, text: str = "text", doc_id: str = "doc_id"
     return out.select(*[F.col(k).alias("doc_id" if k == names[0] else c) for c, k in zip(kept, names, strict=True)], "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-def _swept(spark: SparkSession) -> None:
-    """Have both sides of the driver notice that shuffles before the last checkpoint are out of use, so
-    that Spark removes their files now and not at its next full collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(remainder(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1], F.lit(False)))
     return lm_scores(docs, F.col("doc_id").isNotNull() & ~F.col("held_out"), keep=["held_out"])
