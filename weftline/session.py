@@ -30,10 +30,12 @@ def prepare(spark: SparkSession) -> None:
     """Make ``checkpoint()`` usable and this package importable in Python workers.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is
-    unset (tests, a laptop) a temporary one is made.
+    unset and the master is local (tests, a laptop) a temporary one is made.
     """
     sc = spark.sparkContext
     if not spark.conf.get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="weftline-checkpoint-"))
     paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
