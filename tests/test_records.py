@@ -135,6 +135,18 @@ def test_files(spark, tmp_path):
     assert {(r.label, r.f, r.g) for r in files.read_training(spark, str(tmp_path / "t.csv"), ["f", "g"]).collect()} == {(1, 0.0, 0.0), (1, 0.5, 0.0)}
 
 
+def test_audit_exports(spark, tmp_path):
+    rows = [("3_4", 3, 4, "REJECT", "no, not", "bob", datetime(2024, 1, 4), 0.8, 0.8, 0.0, 2.0), ("1_2", 1, 2, "MERGE", None, "ann", datetime(2024, 1, 3), 0.7, 0.6, 0.0, 1.0)]
+    log = spark.createDataFrame(rows, "pair_id string, record_id_1 long, record_id_2 long, decision string, comment string, reviewer string, timestamp timestamp_ntz, hybrid_score double, deterministic_score double, ml_probability double, processing_time double")
+    out = audit.review_export(log)
+    assert [(r.pair_id, r.label, r.comment) for r in out.collect()] == [("1_2", 1, None), ("3_4", 0, "no, not")] and "decision" not in out.columns
+    assert audit.review_export(log.limit(0)).count() == 0
+    path = audit.export_decisions(log, str(tmp_path), datetime(2024, 5, 6, 7, 8, 9))
+    assert path.endswith("/audit_export_20240506_070809.csv")
+    back = spark.read.option("header", True).csv(path)
+    assert back.columns == log.columns and {(r.pair_id, r.decision, r.comment) for r in back.collect()} == {("3_4", "REJECT", "no, not"), ("1_2", "MERGE", None)}
+
+
 def test_audit_store(spark):
     hybrid = spark.createDataFrame([(1, 2, 0.7, 0.7, 0.0, "k", "s"), (3, 4, 0.8, 0.8, 0.0, "k", "s")], "record_id_1 long, record_id_2 long, hybrid_score double, deterministic_score double, ml_probability double, block_key string, strategy string")
     queue = audit.enqueue(audit.enqueue(None, hybrid, datetime(2024, 1, 1)), hybrid, datetime(2024, 1, 2))

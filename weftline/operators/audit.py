@@ -76,6 +76,18 @@ def training_data(log: DataFrame, least: int = 100) -> DataFrame:
     )
 
 
+def review_export(log: DataFrame) -> DataFrame:
+    """All decisions with their labels, oldest first."""
+    return log.select("pair_id", "record_id_1", "record_id_2", F.when(merged(), 1).otherwise(0).alias("label"), "hybrid_score", "deterministic_score", "ml_probability", "comment", "reviewer", "timestamp").orderBy("timestamp", "pair_id")
+
+
+def export_decisions(log: DataFrame, folder: str, at: datetime) -> str:
+    """Writes all decisions as CSV, latest first, to a folder named after the time; gives its path."""
+    path = f"{folder}/audit_export_{at:%Y%m%d_%H%M%S}.csv"
+    decisions_between(log).write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
 def recent(log: DataFrame, days: int = 30, asof: datetime | None = None) -> DataFrame:
     """The rows of the last ``days`` days up to ``asof``, or up to the latest row."""
     if asof is None:

@@ -163,6 +163,7 @@ SELECT strategy, count(*) AS num_blocks, round(avg(n), 6) AS avg_block_size, max
     "pending_topk": f"WITH {Q} SELECT pair_id, priority, added_date FROM q WHERE status = 'pending' ORDER BY priority DESC, added_date, pair_id LIMIT 50",
     "decisions_by_date": f"WITH {A} SELECT pair_id, decision, \"timestamp\" FROM a WHERE \"timestamp\" BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20'",
     "training_data": f"WITH {A} SELECT pair_id, CAST(decision = 'MERGE' AS INTEGER) AS label, round(hybrid_score - deterministic_score, 6) AS score_diff, CAST(hybrid_score >= 0.9 AS INTEGER) AS high_confidence, CAST(hybrid_score <= 0.1 AS INTEGER) AS low_confidence FROM a",
+    "review_export": f"WITH {A} SELECT pair_id, record_id_1, record_id_2, CAST(decision = 'MERGE' AS INTEGER) AS label, hybrid_score, deterministic_score, ml_probability, 'by ' || reviewer AS comment, reviewer, \"timestamp\" FROM a",
     "audit_metrics": f"WITH {RECENT} SELECT count(*) AS total_reviews, count(*) FILTER (decision = 'MERGE') AS merge_count, count(*) FILTER (decision = 'REJECT') AS reject_count, round(CAST(count(*) FILTER (decision = 'MERGE') AS DOUBLE) / count(*), 6) AS merge_rate FROM t",
     "queue_stats": f"WITH {Q} SELECT count(*) AS total_queue, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'reviewed') AS reviewed FROM q",
     "reviewer_performance": f"WITH {RECENT} SELECT reviewer, count(*) AS reviews_completed, round(avg(processing_time), 6) AS avg_processing_time, round(count(*) FILTER (decision = 'MERGE') * 100.0 / count(*), 6) AS merge_rate, min(\"timestamp\") AS first_review, max(\"timestamp\") AS last_review FROM t GROUP BY reviewer",

@@ -257,6 +257,10 @@ def training_data(s, d):
     return audit.training_data(X.audit_log(s, d)).select("pair_id", "label", r6("score_diff", "score_diff"), "high_confidence", "low_confidence")
 
 
+def review_export(s, d):
+    return audit.review_export(X.audit_log(s, d).withColumn("comment", F.concat(F.lit("by "), "reviewer")))
+
+
 def audit_metrics(s, d):
     return audit.audit_metrics(audit.recent(X.audit_log(s, d))).withColumn("merge_rate", F.round("merge_rate", 6))
 
@@ -355,6 +359,6 @@ QUERIES = {f.__name__: f for f in (
     normalize_names, title_case, normalize_address, normalize_contact, normalize_state_names, normalize_streets, soundex_codes, metaphone_codes, affiliation_exact, affiliation_fuzzy, dictionary_stats, split_names,
     fuzz_ratio_pairs, edit_pairs, jaro_winkler_pairs, name_similarity, validation_report, validation_summary, clean_providers, block_keys, candidate_pairs, blocking_stats,
     deterministic_scores, score_stats, hybrid_decisions, scoring_stats, decision_counts, threshold_search, best_thresholds, merge_groups, merged_providers, merge_log, merge_stats, merge_group_sizes, unmerged_providers, rollback_merge,
-    audit_candidates, pending_topk, decisions_by_date, training_data, audit_metrics, queue_stats, reviewer_performance, review_statistics, decision_shares, daily_activity, should_retrain, model_perf_lag, derived_metrics,
+    audit_candidates, pending_topk, decisions_by_date, training_data, review_export, audit_metrics, queue_stats, reviewer_performance, review_statistics, decision_shares, daily_activity, should_retrain, model_perf_lag, derived_metrics,
     processing_time_trend, processing_time_histogram, system_health, metrics_report, ml_features, ml_predictions, ml_stats, ml_calibration, full_pipeline,
 )}
