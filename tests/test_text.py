@@ -34,13 +34,12 @@ def test_jaro_winkler(a, b, want):
     assert T.jaro_winkler_of(a, b) == pytest.approx(want, abs=1e-6) == T.jaro_winkler_of(b, a)
 
 
-@pytest.mark.parametrize(("word", "code"), [("Smith", "SM0"), ("Thompson", "TMSN"), ("Knight", "NFT"), ("Phillip", "FLP"), ("Wright", "RT"), ("", ""), ("Schmidt", "SKMTT"), ("Xavier", "SFR"), ("Bob", "BB"), ("Lamb", "LM")])
+OPEN = pytest.mark.xfail(strict=True, reason="the rules give 0MPSN and NT; which variant is right isn't settled")
+
+
+@pytest.mark.parametrize(("word", "code"), [("Smith", "SM0"), pytest.param("Thompson", "TMSN", marks=OPEN), pytest.param("Knight", "NFT", marks=OPEN), ("Phillip", "FLP"), ("Wright", "RT"), ("", ""), ("Schmidt", "SKMTT"), ("Xavier", "SFR"), ("Bob", "BB"), ("Lamb", "LM")])
 def test_metaphone(word, code):
-    got = T.metaphone_of(word)
-    if word in ("Smith", "Phillip", "", "Xavier", "Bob", "Lamb"):
-        assert got == code
-    else:
-        assert got and got == T.metaphone_of(word.upper())
+    assert T.metaphone_of(word) == code == T.metaphone_of(word.upper())
 
 
 def test_title_case_is_pythons(spark):
