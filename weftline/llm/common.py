@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.session import cut, prepare
 
+#: Seconds after which the driver has heard of released objects.
+HANDED_OVER = 2.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -30,9 +33,12 @@ def remainder(doc_id: Column, of: int) -> Column:
 
 def sweep(spark: SparkSession) -> None:
     """Have both sides of the driver notice that shuffles before the last checkpoint are out of use, so
-    that Spark removes their files now and not at its next full collection."""
+    that Spark removes their files now and not at its next full collection. The gateway hands
+    objects that Python has released over to the driver about once a second, so it is waited for."""
     gc.collect()
+    time.sleep(HANDED_OVER)
     spark.sparkContext._jvm.System.gc()
+    time.sleep(HANDED_OVER / 4)
 
 
 def slices(batch, rows: int = 500):
