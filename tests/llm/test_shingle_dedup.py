@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from weftline.llm import shingle_dedup
+from weftline.llm import shingle_dedup, simhash
 
 
 def plain_set(t):
@@ -65,3 +65,34 @@ def test_near_stage_on_documents(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     want = {d for (d, _), w in zip(rows, plain_groups(rows), strict=True) if d == w}
     assert {r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()} == want
+
+
+def edited(n, edits, rng):
+    words = [f"w{rng.randrange(3000)}" for _ in range(n)]
+    out = [" ".join(words)]
+    for _ in range(edits):
+        copy = list(words)
+        copy[rng.randrange(n)] = "edited"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_simhash_grid_comes_first(spark, monkeypatch):
+    """The grid's links join light edits before any cell is looked at; each of them is checked exactly."""
+    rng = random.Random(8)
+    for text in [None, "", "One two", *edited(400, 1, rng), "a b " * 40_000]:
+        assert shingle_dedup.simhash_of(shingle_dedup.hashes(text)) == simhash.fingerprint(text, 5)
+    rows = [*enumerate([*edited(3000, 12, rng), *edited(3000, 12, rng), *edited(12, 3, rng)])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    grid, cells = shingle_dedup.grid_pairs, shingle_dedup._open_cells
+    monkeypatch.setattr(shingle_dedup, "grid_pairs", lambda keyed: seen.append(("grid", (out := grid(keyed)).count())) or out)
+    monkeypatch.setattr(shingle_dedup, "_open_cells", lambda r: seen.append(("cells", (out := cells(r)).count())) or out)
+    got = [r.component_id for r in sorted(shingle_dedup.shingle_groups(df).collect())]
+    assert got == plain_groups(rows)
+    assert seen[0][0] == "grid" and seen[0][1] >= 20  # most of the two groups' 24 copies
+    # texts of one fingerprint whose sets have little in common stay apart
+    monkeypatch.setattr(shingle_dedup, "simhash_of", lambda found: 5)
+    monkeypatch.setattr(shingle_dedup, "grid_pairs", grid)
+    some = spark.createDataFrame([(i, " ".join(f"{i}x{k}" for k in range(30))) for i in range(20)], "doc_id long, text string")
+    assert all(r.doc_id == r.component_id for r in shingle_dedup.shingle_groups(some).collect())

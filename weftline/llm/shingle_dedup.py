@@ -1,9 +1,13 @@
 """Near-dedup by shingle similarity: the form of operator 8 for a similarity in place of bits.
 
-Word shingles that are alike by 0.8 leave fingerprints some ten bits of 64 apart, and up to twenty
-in the tail: so wide a range leaves a grid of fingerprints no selective cell, and no range is wide
-enough for certain. This form therefore keeps a text's shingle hashes as a set and joins the sets
-exactly.
+SimHash comes first: fingerprints of the shingles meet in operator 8's segment-popcount grid, and
+the links that it finds are checked exactly, set against set. That brings copies and light edits
+together in one pass, however large their group.
+
+Word shingles that are alike by 0.8 leave fingerprints some ten bits of 64 apart, though, and up to
+twenty in the tail: so wide a range leaves a grid of fingerprints no selective cell, and no range is
+wide enough for certain. For what the grid leaves apart, the shingle hashes of a text are kept as a
+set and the sets are joined exactly.
 
 Two sets whose Jaccard similarity is ``t`` or more share at least the share t of either one's
 members, so that, whatever order all sets are sorted in, they meet in the first
@@ -31,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm.common import slices, sweep, without
+from weftline.llm.simhash import BITS, PIECE, near_links
 from weftline.operators.components import connected_components
 from weftline.session import cut, prepare
 
@@ -42,14 +47,27 @@ EMIT, MOST_HUBS, HOT, SALTS = 64, 4096, 200, 64
 FEW = 1000
 
 
-def shingles(text: str | None, words: int = WORDS, seed: int = SEED) -> np.ndarray:
-    """The sorted distinct hashes of the word shingles, A-Z lower-cased; fewer words than a shingle
-    give the whole sequence as one; no words give none."""
+def hashes(text: str | None, words: int = WORDS, seed: int = SEED) -> np.ndarray:
+    """The hashes of the word shingles in order, A-Z lower-cased; fewer words than a shingle give
+    the whole sequence as one; no words give none."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
         return np.empty(0, np.uint64)
     digest, n = xxhash.xxh64_intdigest, max(1, len(parts) - words + 1)
-    return np.unique(np.fromiter((digest(b" ".join(parts[i : i + words]), seed) for i in range(n)), np.uint64, n))
+    return np.fromiter((digest(b" ".join(parts[i : i + words]), seed) for i in range(n)), np.uint64, n)
+
+
+def shingles(text: str | None, words: int = WORDS, seed: int = SEED) -> np.ndarray:
+    """The sorted distinct hashes of the word shingles."""
+    return np.unique(hashes(text, words, seed))
+
+
+def simhash_of(found: np.ndarray) -> int:
+    """``simhash.fingerprint`` of a text, given the hashes of its shingles."""
+    counts = np.zeros(BITS, np.int64)
+    for i in range(0, len(found), PIECE):
+        counts += np.unpackbits(found[i : i + PIECE].astype(">u8").view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(found)).tobytes(), "big")
 
 
 def key_of(members: np.ndarray) -> int:
@@ -206,16 +224,51 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("src_comp", "src") != F.coalesce("dst_comp", "dst")).select("src", "dst")
 
 
+def grid_pairs(keyed: DataFrame) -> DataFrame:
+    """Pairs (src, dst) of keys that SimHash joins: one key for each end of a link of fingerprints in
+    the grid, and of the keys of one fingerprint the least with each other."""
+    keys = cut(keyed.select("key", "fp").distinct())
+    ends = cut(keys.groupBy("fp").agg(F.min("key").alias("least"), F.max("key").alias("most")))
+    far = cut(near_links(ends.select("fp")))
+    for end in ("src", "dst"):
+        far = cut(ends.select(F.col("fp").alias(end), F.col("least").alias(f"{end}_key")).join(_small(far), end))
+    # a fingerprint's keys meet its row by run, so a very common one is spread out
+    dealt = keys.withColumn("run", F.pmod(F.xxhash64("key", F.lit(8)), F.lit(SALTS)))
+    many = _small(ends.where("least <> most").select("fp", "least"))
+    same = dealt.join(dealt.select("fp", "run").distinct().join(many, "fp"), ["fp", "run"])
+    pairs = far.select(F.col("src_key").alias("a"), F.col("dst_key").alias("b")).unionByName(same.select(F.col("least").alias("a"), F.col("key").alias("b")))
+    return cut(pairs.where("a <> b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct())
+
+
+def _linked(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, comp) of the components that ``labels`` and the links ``found`` (src, dst) make together."""
+    links = labels.select(F.col("key").alias("src"), F.col("comp").alias("dst")).unionByName(found)
+    return cut(connected_components(links).select(F.col("node").alias("key"), F.col("component").alias("comp")))
+
+
+def _open_cells(rows: DataFrame) -> DataFrame:
+    """The rows of those cells whose sets are of several components."""
+    several = rows.groupBy("cell").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("cell")
+    return cut(rows.join(several, "cell").select("cell", "key", "n", "at", "many", "comp"))
+
+
 def key_components(docs: DataFrame, keyed: DataFrame, text: str, doc_id: str, words: int, similarity: float, sample: int = 4_000) -> DataFrame:
     """(key, comp) of all keys that have a similar one: the components of the similar pairs."""
-    rows = cut(shared_cells(docs, text, words, similarity, sample).withColumn("comp", F.col("key")))
-    first = left = rows.count()
-    links = docs.sparkSession.createDataFrame([], "src long, dst long")
-    labels, tested = docs.sparkSession.createDataFrame([], "key long, comp long"), links
-    # one document stands for each key that shares a cell; its sketch is made once
-    reps = keyed.join(rows.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min(F.struct("tx", "doc_id")).alias("row"))
+    # one document stands for each key
+    reps = keyed.groupBy("key").agg(F.min(F.struct("tx", "doc_id")).alias("row"))
     reps = cut(reps.select("key", F.col("row.tx").alias("want_tx"), F.col("row.doc_id").alias("want_id")))
-    sketches = cut(_made(_texts(docs, reps, text, doc_id), words, sketch))
+    labels = docs.sparkSession.createDataFrame([], "key long, comp long")
+    tested = grid_pairs(keyed)
+    if not tested.isEmpty():
+        labels = _linked(labels, cut(similar_pairs(docs, tested, reps, text, doc_id, words, similarity)))
+    sweep(docs.sparkSession)
+    rows = shared_cells(docs, text, words, similarity, sample).join(_small(labels), "key", "left")
+    rows = _open_cells(cut(rows.withColumn("comp", F.coalesce("comp", "key"))))
+    first = left = rows.count()
+    if not left:
+        return labels
+    # the sketch of each key that is left is made once
+    sketches = cut(_made(_texts(docs, cut(reps.join(_small(rows.select("key").distinct()), "key", "left_semi")), text, doc_id), words, sketch))
     slots = 1  # hubs of a cell grow fourfold a round, so that groups come together before many pairs are tried
     while left:
         sweep(docs.sparkSession)
@@ -223,7 +276,6 @@ def key_components(docs: DataFrame, keyed: DataFrame, text: str, doc_id: str, wo
         hubs = slotted.groupBy("cell", "slot").agg(F.min(F.struct("key", "n", "at", "comp")).alias("hub"))
         pairs = candidates(rows, hubs, similarity)
         pairs = cut(pairs.join(_small(tested), ["src", "dst"], "left_anti"))
-        tested = tested.unionByName(pairs)
         likely = cut(_judged(sketches, pairs, lambda a, n, b, k: may_be_similar(a, n, b, k, similarity)))
         # where there are many, one pair of each key first: most others are then within one component and need no check
         steps = [likely.groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst"), likely] if likely.count() > FEW else [likely]
@@ -231,13 +283,12 @@ def key_components(docs: DataFrame, keyed: DataFrame, text: str, doc_id: str, wo
             some = cut(_apart(some, labels))
             found = None if some.isEmpty() else cut(similar_pairs(docs, some, reps, text, doc_id, words, similarity))
             if found is not None and not found.isEmpty():
-                links = links.unionByName(found)
-                labels = cut(connected_components(links).select(F.col("node").alias("key"), F.col("component").alias("comp")))
+                labels = _linked(labels, found)
+        # written anew, so that neither its plan nor its partitions add up over the rounds
+        tested = cut(_apart(tested.unionByName(pairs), labels).repartition("src", "dst"))
         # the hubs have met all others of their cells; what is left matters where it is of several components
         rest = slotted.where("many").join(hubs, ["cell", "slot"]).where(F.col("key") != F.col("hub.key")).select("cell", "key", "n", "at", "many")
-        rest = rest.join(_small(labels), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-        open_cells = rest.groupBy("cell").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("cell")
-        rows = cut(rest.join(open_cells, "cell").select("cell", "key", "n", "at", "many", "comp"))
+        rows = _open_cells(rest.join(_small(labels), "key", "left").withColumn("comp", F.coalesce("comp", "key")))
         left = rows.count()
         slots = max(1, min(4 * slots, MOST_HUBS, EMIT * first // max(left, 1)))
     return labels
@@ -251,10 +302,12 @@ def shingle_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tx"), _signed(np.array([key_of(shingles(t.as_py(), words)) for t in b.column("t")], np.uint64))], ["doc_id", "tx", "key"])
+            found = (hashes(t.as_py(), words) for t in b.column("t"))
+            made = np.array([(key_of(np.unique(h)), simhash_of(h)) for h in found], np.uint64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tx"), _signed(made[:, 0].copy()), _signed(made[:, 1].copy())], ["doc_id", "tx", "key", "fp"])
 
     kind = dict(docs.dtypes)[doc_id]
-    keyed = cut(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("tx"), F.col(text).alias("t")).mapInArrow(run, f"doc_id {kind}, tx long, key long"))
+    keyed = cut(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("tx"), F.col(text).alias("t")).mapInArrow(run, f"doc_id {kind}, tx long, key long, fp long"))
     found = key_components(docs, keyed, text, doc_id, words, similarity)
     # the least id of a key, then of its component; both are counted in part before they meet
     least = cut(keyed.groupBy("key").agg(F.min("doc_id").alias("least")).join(found, "key", "left").withColumn("comp", F.coalesce("comp", "key")))
