@@ -43,6 +43,8 @@ WORDS, SIMILARITY, SEED = 5, 0.8, 42
 EPS = 1e-9
 #: Candidates of a round for each row of the first; hubs of a cell in a round; cells in over one of so many sampled texts are salted.
 EMIT, MOST_HUBS, HOT, SALTS = 64, 4096, 200, 64
+#: Rows of a table that is broadcast; a round has some ten of them, which the driver holds until the next one's sweep.
+BROADCAST = 50_000
 #: Up to so many likely pairs of a round are compared in one step.
 FEW = 1000
 
@@ -211,17 +213,23 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, reps: DataFrame, text: str,
     return _judged(sets, pairs, lambda a, _n, b, _k: similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), similarity))
 
 
-def _small(df: DataFrame, most: int = 200_000) -> DataFrame:
+def _small(df: DataFrame, most: int = BROADCAST) -> DataFrame:
     """``df`` to be broadcast if it has at most so many (narrow) rows."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (src, dst) whose ends aren't in one component."""
+def _in_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (src, dst) with their ends' components; a key without one is its own."""
     labels = _small(labels)
     for end in ("src", "dst"):
         pairs = pairs.join(labels.select(F.col("key").alias(end), F.col("comp").alias(f"{end}_comp")), end, "left")
-    return pairs.where(F.coalesce("src_comp", "src") != F.coalesce("dst_comp", "dst")).select("src", "dst")
+        pairs = pairs.withColumn(f"{end}_comp", F.coalesce(f"{end}_comp", end))
+    return pairs
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (src, dst) whose ends aren't in one component."""
+    return _in_components(pairs, labels).where("src_comp <> dst_comp").select("src", "dst")
 
 
 def grid_pairs(keyed: DataFrame) -> DataFrame:
@@ -241,9 +249,14 @@ def grid_pairs(keyed: DataFrame) -> DataFrame:
 
 
 def _linked(labels: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, comp) of the components that ``labels`` and the links ``found`` (src, dst) make together."""
-    links = labels.select(F.col("key").alias("src"), F.col("comp").alias("dst")).unionByName(found)
-    return cut(connected_components(links).select(F.col("node").alias("key"), F.col("component").alias("comp")))
+    """(key, comp) of the components that ``labels`` and the links ``found`` (src, dst) make together.
+    Only the new links are joined, as links of whole components; so a round's work, and what the
+    driver keeps of its tasks, follows them and not all keys."""
+    ends = cut(_in_components(found, labels))
+    merged = _small(connected_components(ends, "src_comp", "dst_comp"))
+    new = ends.select(F.explode(F.array("src", "dst")).alias("key")).distinct().join(_small(labels), "key", "left_anti")
+    known = labels.unionByName(new.select("key", F.col("key").alias("comp"))).repartition("key")
+    return cut(known.join(merged.withColumnRenamed("node", "comp"), "comp", "left").select("key", F.coalesce("component", "comp").alias("comp")))
 
 
 def _open_cells(rows: DataFrame) -> DataFrame:
