@@ -92,3 +92,19 @@ def test_messages_follow_the_blocks():
     assert len(sent) == 64
     back = np.concatenate([np.cumsum(lm_score._unplanes(k.as_py()), dtype=np.uint64) for k in sent.column("keys")])
     assert (back == keys).all()
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_all_words_of_a_block_take_their_arcs_at_once(order):
+    """One block without Spark: texts of one word, of none and of many, seen and unseen, as the plain walk scores them."""
+    import numpy as np
+
+    texts = ["a b c a b d", "", "a b c", None, "d d d a b", "x a b c d", "a", "b a b c a b d d " * 50]
+    train = np.array([True, True, False, False, True, False, False, True])
+    block = lm_score.Block.of(texts, train)
+    for _ in range(order - 1):
+        block.longer()
+    totals = block.counts
+    got = lm_score.Automaton(block, totals, block.starts, int(totals[0].sum()), int((totals[0] > 0).sum()), lm_score.PRIOR).scores()
+    want = walk([(i, t, bool(k)) for i, (t, k) in enumerate(zip(texts, train, strict=True))], order=order)
+    assert got.tolist() == pytest.approx([w[5] for w in want], rel=1e-12)

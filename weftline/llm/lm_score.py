@@ -9,7 +9,9 @@ the root. A failure arc leads to the state without the first word and weighs log
 m / (c(context) + m). So the weights out of a state sum to one in probability. A text is one
 left-to-right traversal: the state is carried from word to word, failure arcs are followed until
 a state has the word's arc, and the weights add up. It begins in the state of the start and ends
-with the end token.
+with the end token. The state that a word leads to is the longest stored n-gram that ends there,
+whatever arcs led to it; so all words of a block take their arcs at once, and those whose state
+lacks the arc follow their failure arcs together, one length at a time.
 
 Counts are exact and distributed. The texts of an input partition are packed into blocks of words
 as numbers, written down once. A block sends its distinct n-grams, as sorted 64-bit keys cut by
@@ -121,24 +123,24 @@ class Automaton:
     """The states that a block's texts can reach, with their arcs and failure arcs."""
 
     def __init__(self, block: Block, totals: list[np.ndarray], starts: int, total: int, distinct: int, prior: float) -> None:
-        order, width = len(totals), len(block.words)
-        self.width = max(width, 1)
+        self.block, order, width = block, len(totals), len(block.words)
         # states: the root, the start, then seen n-grams below the order by length
-        state, sizes = [], 2
+        state, sizes, size = [], 2, [0, 1]
         for n in range(order - 1):
             seen = totals[n] > 0
             state.append(np.where(seen, sizes + np.cumsum(seen) - 1, -1))
             sizes += int(seen.sum())
+            size += [n + 1] * int(seen.sum())
+        self.state, self.size = state, np.array(size, np.int8)  # of a state: the words of its n-gram, the start being one
         self.fail, self.back = np.zeros(sizes, np.int64), np.zeros(sizes)
         self.back[1] = np.log10(prior / (starts + prior))
         p = (totals[0] + 0.5) / (total + 0.5 * (distinct + 1))
-        # the root has an arc for every word
-        arcs = [np.arange(width)]
-        weights, targets = [np.log10(p)], [np.maximum(state[0], 0) if state else np.zeros(width, np.int64)]
-        self.root = weights[0]
+        # the root has an arc for every word; weights of the arcs by n-gram, nan where there is no arc
+        self.arcs = [np.log10(p)]
+        self.root = self.arcs[0]
         for n in range(order):
+            seen = totals[n] > 0
             if n < order - 1:
-                seen = totals[n] > 0
                 own = state[n][seen]
                 self.back[own] = np.log10(prior / (totals[n][seen] + prior))
                 if n:
@@ -149,29 +151,30 @@ class Automaton:
                 context = np.where(at_start, -1, place[at - 1])
                 after = np.where(at_start, starts, totals[n - 1][context])
                 p = (totals[n] + prior * p[place[at]]) / (after + prior)
-                seen = totals[n] > 0
-                origin = np.where(at_start, 1, state[n - 1][context])
-                arcs.append(origin[seen] * self.width + block.token[at[seen]])
-                weights.append(np.log10(p[seen]))
-                targets.append((state[n][seen] if n < order - 1 else state[n - 1][place[at[seen]]]))
-        self.weight, self.target = np.concatenate(weights).tolist(), (np.concatenate(targets) * self.width).tolist()
-        self.arcs = dict(zip(np.concatenate(arcs).tolist(), range(len(self.weight)), strict=True))
-        self.fail, self.back = self.fail.tolist(), self.back.tolist()
-
-    def walk(self, text: list[int]) -> float:
-        """The log10 probability of a text's words, from the state of the start."""
-        arcs, weight, target, fail, back, width = self.arcs.get, self.weight, self.target, self.fail, self.back, self.width
-        state, total = width, 0.0  # states are carried times the width, as arcs have them
-        for word in text:
-            arc = arcs(state + word)
-            while arc is None:
-                state //= width
-                total += back[state]
-                state = fail[state] * width
-                arc = arcs(state + word)
-            total += weight[arc]
-            state = target[arc]
-        return total
+                self.arcs.append(np.where(seen, np.log10(p), np.nan))
+
+    def scores(self) -> np.ndarray:
+        """The log10 probability of each text of the block, from the state of the start."""
+        block, total = self.block, np.zeros(len(self.block.token))
+        # where each word leads, and so the state before the next one
+        state = np.zeros(len(total), np.int64)
+        for known, place in zip(self.state, block.place, strict=False):
+            there = np.where(place >= 0, known[place], -1) if len(known) else np.full(len(place), -1)
+            state = np.where(there >= 0, there, state)
+        state = np.concatenate([[1], state[:-1]])[: len(total)]
+        state[block.first] = 1
+        left = np.arange(len(total))
+        for n in range(len(self.arcs) - 1, -1, -1):
+            here = self.size[state[left]] == n
+            words = left[here]
+            weight = self.arcs[n][block.place[n][words]]
+            has = ~np.isnan(weight)
+            total[words[has]] += weight[has]
+            failed = words[~has]
+            total[failed] += self.back[state[failed]]
+            state[failed] = self.fail[state[failed]]
+            left = np.concatenate([left[~here], failed])
+        return np.add.reduceat(total, block.first) if len(block.first) else total
 
 
 def _pack(batches: Iterator[pa.RecordBatch], block_chars: int, kept: list[str]) -> Iterator[pa.RecordBatch]:
@@ -339,11 +342,8 @@ def lm_scores(docs: DataFrame, train, text: str = "text", doc_id: str = "doc_id"
         totals, _ = _totals(block, answers, order)
         model = Automaton(block, totals, starts, total, distinct, prior)
         known, base = ((np.add.reduceat(x[block.token], block.first) if len(block.first) else x[:0]) for x in ((totals[0] > 0).astype(np.int64), model.root))
-        token, full = block.token.tolist(), []
-        for a, many in zip(block.first.tolist(), block.lengths.tolist(), strict=True):
-            full.append(model.walk(token[a : a + many]))
         columns = pa.ipc.open_stream(row["columns"]).read_all()
-        return pa.table([*columns.columns, pa.array(block.lengths), pa.array(known), pa.array(np.full(len(known), total)), pa.array(base), pa.array(full, pa.float64())], [*names, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return pa.table([*columns.columns, pa.array(block.lengths), pa.array(known), pa.array(np.full(len(known), total)), pa.array(base), pa.array(model.scores(), pa.float64())], [*names, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     schema = StructType(rows.select(*names).schema.fields)
     for c, kind in (("n_tokens", LongType()), ("n_known", LongType()), ("train_tokens", LongType()), ("base_score", DoubleType()), ("score", DoubleType())):
