@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
+from weftline.llm.common import slices as row_slices
 from weftline.llm.common import table
 
 #: The pattern that cuts text into pretokens, part of the byte-level scheme.
@@ -332,13 +333,20 @@ def slices(texts: pa.Array, size: int = PART):
         yield some
 
 
+def _replaced(batches, names: list[str], make):
+    """The batches with what ``make`` makes of their last column in its place, in pieces, so that
+    neither side holds the ids of a whole batch."""
+    for whole in batches:
+        for b in row_slices(whole):
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], make(b.columns[-1])], names)
+
+
 def _with(docs: DataFrame, source: str, out: str, kind, make) -> DataFrame:
     """``docs`` with a column ``out`` made from the column ``source`` in Python."""
     kept = [c for c in docs.columns if c != out]
 
     def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], make(b.columns[-1])], [*kept, out])
+        yield from _replaced(batches, [*kept, out], make)
 
     schema = StructType([docs.schema[c] for c in kept]).add(out, kind)
     return docs.select(*kept, docs[source].alias("__source")).mapInArrow(run, schema)
