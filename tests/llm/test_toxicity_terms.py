@@ -99,3 +99,15 @@ def test_one_label_or_none():
     assert toxicity.fit(rows, {0: 50}).score("plain")[0] == 0.0
     assert toxicity.fit([(i, 1, t) for i, _, t in rows], {1: 50}).score("plain")[0] == 1.0
     assert toxicity.fit([], {0: 3, 1: 1}).score("plain") == (0.25, [])
+
+
+def test_queries_beside_each_other_change_nothing():
+    """Many texts go through the blocks together; each has the score and neighbours that it has alone."""
+    rng = random.Random(9)
+    stems = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(80)]
+    text = lambda: " ".join(rng.choice(stems) + rng.choice(["", "ing", "ed"]) for _ in range(rng.randrange(0, 60)))
+    rows = [(i, i % 2, text()) for i in range(700)]
+    texts = [*(text() for _ in range(600)), None, "", "unseen", rows[3][2], rows[3][2]]
+    index, alone = toxicity.fit(rows, {0: 900, 1: 100}), toxicity.fit(rows, {0: 900, 1: 100})
+    assert index.scores(texts) == [alone.score(t) for t in texts]
+    assert index.scores([]) == [] and toxicity.fit([], {0: 3, 1: 1}).scores(["a", None]) == [(0.25, [])] * 2

@@ -9,7 +9,10 @@ beyond chance: those decide which examples are near, all others take part with a
 The examples' vectors stand in an inverted index with block maxima: postings of rare terms as lists,
 those of frequent terms by block. A query first adds up its rare terms' postings. With them the
 block maxima of its frequent terms bound its cosine in each block of examples; blocks are completed,
-the most promising first, until no bound left exceeds the k-th best cosine. The k nearest are exact. Their
+the most promising first, until no bound left exceeds the k-th best cosine. Many queries go through this
+together: one matrix product bounds them, and one for each block completes those that need it. The
+examples that may be among a query's nearest are then added up term by term, so the k nearest are
+exact and do not depend on the queries beside it. Their
 votes, weighted by closeness and by what one example of a class stands for among all labelled
 rows, together with a vote of the base rate, give the score; the neighbours are its evidence.
 """
@@ -36,6 +39,8 @@ HELD_OUT = (5, 0)
 BEGINNINGS = range(3, 8)
 #: Examples in a block; terms in more than one of so many examples are frequent.
 BLOCK, FREQUENT = 32, 16
+#: Queries that go through the blocks together; what single precision may add to or take from a cosine.
+QUERIES, SLACK = 250, 1e-5
 #: How many standard errors of the log odds count as chance, and what any term's weight has at least.
 CHANCE, FLOOR, POWER = 2.5, 0.05, 1.5
 
@@ -76,73 +81,109 @@ class Index:
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, unit weights) of a text; terms that no example has have places beyond the index's."""
-        counts = Counter(WORD.findall((text or "").lower()))
+        return self.vectors([text])[0]
+
+    def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``vector`` of each text; a word's terms are looked up once for all."""
         if len(self.local) + len(self.others) > 150_000:
             self.local.clear()
             self.others.clear()
-        known, n = self.terms, len(self.terms)
-        found = []
-        for word in counts:
+        number: dict[str, int] = {}
+        words, tf, long = [], [], []
+        for text in texts:
+            counts = Counter(WORD.findall((text or "").lower()))
+            words += [number.setdefault(w, len(number)) for w in counts]
+            tf += counts.values()
+            long.append(len(counts))
+        known, n, found = self.terms, len(self.terms), []
+        for word in number:
             at = self.local.get(word)
             if at is None:
-                at = tuple(known[t] if t in known else n + self.others.setdefault(t, len(self.others)) for t in _terms(word))
+                at = tuple([known[t] if t in known else n + self.others.setdefault(t, len(self.others)) for t in _terms(word)])
                 if len(word) <= 40:
                     self.local[word] = at
             found.append(at)
-        if not found:
-            return np.empty(0, np.int64), np.empty(0)
-        long = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int64, long.sum())
-        at, back = np.unique(flat, return_inverse=True)
-        tf = np.bincount(back, np.repeat(np.fromiter(counts.values(), float, len(counts)), long))
-        weights = (1 + np.log(tf)) * self.weight[np.minimum(at, n)]
-        size = np.linalg.norm(weights)
-        return at, weights / size if size > 0 else weights
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        start, terms = np.cumsum(size) - size, np.fromiter(chain.from_iterable(found), np.int64, size.sum())
+        words, doc = np.array(words, np.int64), np.repeat(np.arange(len(texts)), long)
+        many = size[words]
+        terms = terms[np.arange(many.sum()) + np.repeat(start[words] - np.cumsum(many) + many, many)]
+        top = n + len(self.others) + 1
+        key, back = np.unique(np.repeat(doc, many) * top + terms, return_inverse=True)
+        doc, at = np.divmod(key, top)
+        weights = (1 + np.log(np.bincount(back, np.repeat(np.array(tf, float), many), len(key)))) * self.weight[np.minimum(at, n)]
+        out, edges = [], np.searchsorted(doc, np.arange(len(texts) + 1))
+        for low, high in zip(edges, edges[1:], strict=False):
+            own = weights[low:high]
+            length = np.linalg.norm(own)
+            out.append((at[low:high], own / length if length > 0 else own))
+        return out
 
     def nearest(self, at: np.ndarray, weights: np.ndarray) -> list[tuple[float, int]]:
         """Exact k nearest examples of a query vector: (cosine, example), the nearest first, ties by
         the example's place. Examples of cosine 0 aren't neighbours."""
-        n, examples, blocks, often = len(self.terms), len(self.labels), len(self.frequent), self.maxima.shape[0]
-        if not examples:
-            return []
-        a, b = np.searchsorted(at, [often, n])  # places rise: frequent, rare, other terms
-        rare, mass = at[a:b] - often, weights[a:b]
-        many = self.starts[rare + 1] - self.starts[rare]
-        there = np.arange(many.sum()) + np.repeat(self.starts[rare] - np.cumsum(many) + many, many)
-        part = np.bincount(self.places[there], np.repeat(mass, many) * self.values[there], blocks * BLOCK).reshape(blocks, BLOCK)
-        heavy, mass = at[:a], weights[:a].astype(np.float32)
-        bounds = part.max(axis=1) + mass @ self.maxima[heavy]
-        cosines, places, least = np.empty(0), np.empty(0, np.int64), 0.0
-        order = np.argsort(-bounds, kind="stable")
+        return self.nearest_many([(at, weights)])[0]
+
+    def nearest_many(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[float, int]]]:
+        """``nearest`` of each query vector."""
+        if not len(self.labels):
+            return [[] for _ in queries]
+        n, blocks, often = len(self.terms), len(self.frequent), self.maxima.shape[0]
+        part = np.zeros((len(queries), blocks, BLOCK), np.float32)  # cosines: of rare terms, and of all where a block is complete
+        heavy, rare = np.zeros((len(queries), often), np.float32), []
+        for i, (at, weights) in enumerate(queries):
+            a, b = np.searchsorted(at, [often, n])  # places rise: frequent, rare, other terms
+            heavy[i, at[:a]] = weights[:a]
+            own = at[a:b] - often
+            many = self.starts[own + 1] - self.starts[own]
+            there = np.arange(many.sum()) + np.repeat(self.starts[own] - np.cumsum(many) + many, many)
+            rare.append(np.bincount(self.places[there], np.repeat(weights[a:b], many) * self.values[there], blocks * BLOCK))
+            part[i] = rare[-1].reshape(blocks, BLOCK)
+        bounds = part.max(axis=2) + heavy @ self.maxima
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        turn = np.empty_like(order)  # of a block, for each query
+        np.put_along_axis(turn, order, np.arange(blocks)[None, :], axis=1)
+        done, least = np.zeros(bounds.shape, bool), np.zeros(len(queries), np.float32)
         first = -(-self.k // BLOCK)
-        for chosen in (order[:first], order[first : 4 * first], order[4 * first :]):
-            chosen = chosen[(bounds[chosen] > 0) & (bounds[chosen] >= least - 1e-6)]
-            if len(chosen):
-                cosines = np.append(cosines, part[chosen] + np.matmul(mass, self.frequent[chosen[:, None], heavy]))
-                places = np.append(places, (chosen[:, None] * BLOCK + np.arange(BLOCK)).ravel())
-            if len(cosines) > self.k:
-                least = np.partition(cosines, len(cosines) - self.k)[len(cosines) - self.k]
-        cosines = np.round(cosines, 7)
-        best = np.lexsort((places, -cosines))[: self.k]
-        return [(c, i) for c, i in zip(cosines[best].tolist(), places[best].tolist(), strict=True) if c > 0]
+        for low, high in ((0, first), (first, 4 * first), (4 * first, blocks)):
+            chosen = (turn >= low) & (turn < high) & (bounds > 0) & (bounds >= least[:, None] - SLACK)
+            for block in np.flatnonzero(chosen.any(axis=0)):
+                own = np.flatnonzero(chosen[:, block])
+                part[own, block] += heavy[own] @ self.frequent[block]
+            done |= chosen
+            cosines = np.where(done[:, :, None], part, 0).reshape(len(queries), -1)
+            if cosines.shape[1] > self.k:
+                least = np.partition(cosines, cosines.shape[1] - self.k, axis=1)[:, -self.k]
+        out = []
+        for (at, weights), mine, bound, slow in zip(queries, cosines, least, rare, strict=True):
+            places = np.flatnonzero(mine > max(bound - SLACK, 0))
+            a = np.searchsorted(at, often)
+            of, mass = at[:a], weights[:a]
+            exact = slow[places] + (self.frequent[(places // BLOCK)[:, None], of, (places % BLOCK)[:, None]] * mass).sum(axis=1)
+            exact = np.round(exact, 7)
+            best = np.lexsort((places, -exact))[: self.k]
+            out.append([(c, i) for c, i in zip(exact[best].tolist(), places[best].tolist(), strict=True) if c > 0])
+        return out
 
     def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
         """(score, neighbours) of a text."""
-        if text and len(text) > 200:
-            key = xxhash.xxh128_digest(text.encode("utf-8", "surrogatepass"))
-        else:
-            key = text or ""
-        if key not in self.seen:
-            if len(self.seen) >= 1_000:  # about 3 KB each
-                self.seen.clear()
-            near = self.nearest(*self.vector(text))
+        return self.scores([text])[0]
+
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """(score, neighbours) of each text."""
+        keys = [xxhash.xxh128_digest(t.encode("utf-8", "surrogatepass")) if t and len(t) > 200 else t or "" for t in texts]
+        if len(self.seen) >= 1_000:  # about 3 KB each
+            self.seen.clear()
+        new = {k: t for k, t in zip(keys, texts, strict=True) if k not in self.seen}
+        found = (self.nearest_many(self.vectors([*new.values()][i : i + QUERIES])) for i in range(0, len(new), QUERIES))
+        for key, near in zip(new, chain.from_iterable(found), strict=True):
             # closeness 1 / (1.05 - cosine); the base rate votes like a fifth of one distant neighbour
             top, total = 0.2 * self.base, 0.2
             for c, i in near:
                 v = self.votes[i] / (1.05 - min(c, 1.0))
                 top, total = top + v * self.labels[i], total + v
             self.seen[key] = (float(min(1.0, max(0.0, top / total))), near)
-        return self.seen[key]
+        return [self.seen[k] for k in keys]
 
 
 def term_weights(df: np.ndarray, df1: np.ndarray, n: int, n1: int) -> np.ndarray:
@@ -248,7 +289,7 @@ def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", evidence:
         model = shared.value
         for whole in batches:
             for b in slices(whole):
-                found = [model.score(t.as_py()) for t in b.columns[at]]
+                found = model.scores(b.columns[at].to_pylist())
                 scores = pa.array([s for s, _ in found], pa.float64())
                 said = pa.array([int(s >= 0.5) for s, _ in found], pa.int32())
                 why = pa.array([[str(model.ids[i]) for _, i in near[:evidence]] for _, near in found], pa.list_(pa.string()))
