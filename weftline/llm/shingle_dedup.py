@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from weftline.llm.common import slices, sweep, without
 from weftline.llm.simhash import BITS, PIECE, near_links
 from weftline.operators.components import connected_components
-from weftline.session import cut, prepare
+from weftline.session import cut, cut_round, prepare
 
 WORDS, SIMILARITY, SEED = 5, 0.8, 42
 EPS = 1e-9
@@ -243,13 +243,13 @@ def grid_pairs(keyed: DataFrame) -> DataFrame:
 def _linked(labels: DataFrame, found: DataFrame) -> DataFrame:
     """(key, comp) of the components that ``labels`` and the links ``found`` (src, dst) make together."""
     links = labels.select(F.col("key").alias("src"), F.col("comp").alias("dst")).unionByName(found)
-    return cut(connected_components(links).select(F.col("node").alias("key"), F.col("component").alias("comp")))
+    return cut_round(connected_components(links).select(F.col("node").alias("key"), F.col("component").alias("comp")))
 
 
 def _open_cells(rows: DataFrame) -> DataFrame:
     """The rows of those cells whose sets are of several components."""
     several = rows.groupBy("cell").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("cell")
-    return cut(rows.join(several, "cell").select("cell", "key", "n", "at", "many", "comp"))
+    return cut_round(rows.join(several, "cell").select("cell", "key", "n", "at", "many", "comp"))
 
 
 def key_components(docs: DataFrame, keyed: DataFrame, text: str, doc_id: str, words: int, similarity: float, sample: int = 4_000) -> DataFrame:
@@ -285,7 +285,7 @@ def key_components(docs: DataFrame, keyed: DataFrame, text: str, doc_id: str, wo
             if found is not None and not found.isEmpty():
                 labels = _linked(labels, found)
         # written anew, so that neither its plan nor its partitions add up over the rounds
-        tested = cut(_apart(tested.unionByName(pairs), labels).repartition("src", "dst"))
+        tested = cut_round(_apart(tested.unionByName(pairs), labels).repartition("src", "dst"))
         # the hubs have met all others of their cells; what is left matters where it is of several components
         rest = slotted.where("many").join(hubs, ["cell", "slot"]).where(F.col("key") != F.col("hub.key")).select("cell", "key", "n", "at", "many")
         rows = _open_cells(rest.join(_small(labels), "key", "left").withColumn("comp", F.coalesce("comp", "key")))
