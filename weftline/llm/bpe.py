@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
+from weftline.llm.common import HELD, table
 from weftline.llm.common import slices as row_slices
-from weftline.llm.common import table
 
 #: The pattern that cuts text into pretokens, part of the byte-level scheme.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -309,14 +309,11 @@ def numbers(text: str) -> np.ndarray:
     return np.fromstring(text, np.int32, sep=",") if text else np.empty(0, np.int32)
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(path: str) -> Codec:
     """One codec per worker and path."""
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    if path not in HELD:
+        HELD[path] = Codec(path)
+    return HELD[path]
 
 
 def slices(texts: pa.Array, size: int = PART):

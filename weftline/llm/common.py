@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 
@@ -12,6 +13,8 @@ from weftline.session import cut, prepare
 
 #: Seconds after which the driver has heard of released objects.
 HANDED_OVER = 2.0
+#: What a worker keeps from task to task.
+HELD: dict = {}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -41,6 +44,16 @@ def sweep(spark: SparkSession) -> None:
     time.sleep(HANDED_OVER / 4)
 
 
+def lean() -> None:
+    """Give back what earlier steps left in this worker: a worker that is used again keeps their
+    objects, and the C library the pages of those that are gone."""
+    HELD.clear()
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def slices(batch, rows: int = 500):
     """A record batch in pieces, so that what is made of its texts stays small."""
     for at in range(0, len(batch), rows):

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import slices, sweep, without
+from weftline.llm.common import lean, slices, sweep, without
 from weftline.llm.simhash import BITS, PIECE, near_links
 from weftline.operators.components import connected_components
 from weftline.session import cut, cut_round, prepare
@@ -301,6 +301,7 @@ def shingle_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     prepare(docs.sparkSession)
 
     def run(batches):
+        lean()
         for b in batches:
             found = (hashes(t.as_py(), words) for t in b.column("t"))
             made = np.array([(key_of(np.unique(h)), simhash_of(h)) for h in found], np.uint64).reshape(-1, 2)
