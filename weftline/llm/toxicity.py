@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructType
 
-from weftline.llm.common import remainder, slices, table
+from weftline.llm.common import lean, remainder, slices, table
 from weftline.session import cut, prepare
 
 WORD = re.compile(r"\w+")
@@ -271,12 +271,13 @@ def sample_and_fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", tex
     return fit(list(zip(*(drawn.column(c).to_pylist() for c in ("id", "label", "text")), strict=True)), totals, **options)
 
 
-def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", evidence: int = 3, keep: list[str] | None = None) -> DataFrame:
+def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", evidence: int = 3, keep: list[str] | None = None, spare: bool = False) -> DataFrame:
     """``docs`` (or its columns ``keep``) with score (0 to 1), predicted (1 if the score is 0.5 or more) and evidence (the
     ids of the nearest examples, as text). These take the place of columns of those names.
 
     Texts without any term that an example has, null and empty ones too, get the share of label 1
     among the labelled rows. Whole texts count, whatever their length; rows that repeat score alike.
+    With ``spare`` the workers first give back what earlier steps left in them.
     """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by 2 * examples texts of most_chars characters
@@ -286,6 +287,8 @@ def toxicity_scores(docs: DataFrame, index: Index, text: str = "text", evidence:
     at = kept.index(text) if text in kept else len(kept)
 
     def run(batches):
+        if spare:
+            lean()
         model = shared.value
         for whole in batches:
             for b in slices(whole):
@@ -303,7 +306,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose predicted label is 0, columns as they are."""
     index = sample_and_fit(docs, labels, held_out=F.coalesce(remainder(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1], F.lit(False)))
     named = docs.select([F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns])
-    return toxicity_scores(named, index, "in_text").where("predicted = 0").select([F.col(f"`in_{c}`").alias(c) for c in docs.columns])
+    return toxicity_scores(named, index, "in_text", spare=True).where("predicted = 0").select([F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
