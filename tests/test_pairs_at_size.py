@@ -88,6 +88,13 @@ def test_links_join_what_all_pairs_join(spark, records, most, weights):
         assert links.count() < auto.count()
 
 
+def test_groups_are_of_whole_blocks(spark, tmp_path):
+    """merge_groups takes part in blocks of any size; the cap would leave the second half of these apart."""
+    spark.range(1200).selectExpr("id * 900 * 4096 * 7 as c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    found = queries.merge_groups(spark, str(tmp_path))
+    assert found.count() == 1200 and found.where("component <> 0").count() == 0
+
+
 def test_counted_pairs_teach_as_all_pairs(spark, sf):
     labelled = ml.features(queries._paired(spark, sf)).select("record_id_1", "record_id_2", *ml.FEATURES, (F.col("true_entity_1") == F.col("true_entity_2")).cast("double").alias("label"))
     counted = ml.counted(labelled)

@@ -88,6 +88,8 @@ GROUPS = f"""{SCORED},
 l AS (SELECT record_id_1 AS a, record_id_2 AS b FROM h WHERE decision = 'AUTO_MERGE' UNION SELECT record_id_2, record_id_1 FROM h WHERE decision = 'AUTO_MERGE'),
 reach(a, b) AS (SELECT DISTINCT a, a FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
 g AS (SELECT a AS record_id, min(b) AS component FROM reach GROUP BY a)"""
+#: The groups of blocks of any size.
+ALL_GROUPS = GROUPS.replace(" HAVING count(*) <= 1000", "")
 MERGED = f"""{GROUPS},
 m AS (SELECT component, 'PROV-' || upper(left(sha256(arg_min(lower(trim(norm_name)) || '|' || lower(trim(city_norm)) || '|' || lower(trim(state_norm)), n.record_id)), 16)) AS canonical_id,
   max_by(norm_name, {{'l': length(norm_name), 'r': -n.record_id}}) AS norm_name, arg_min(phone_norm, n.record_id) AS phone_norm, arg_min(email_norm, n.record_id) AS email_norm, max_by(address_line_1_norm, {{'l': length(address_line_1_norm), 'r': -n.record_id}}) AS address_line_1_norm,
@@ -152,7 +154,7 @@ SELECT strategy, count(*) AS num_blocks, round(avg(n), 6) AS avg_block_size, max
     "decision_counts": f"WITH {SCORED} SELECT decision, count(*) AS n FROM h GROUP BY decision",
     "threshold_search": f"WITH {GRID} SELECT round(threshold, 6) AS threshold, tp, fp, fn, round(\"precision\", 6) AS \"precision\", round(recall, 6) AS recall, round(f1, 6) AS f1 FROM gf",
     "best_thresholds": f"WITH {GRID}, o AS (SELECT coalesce((SELECT threshold FROM gf WHERE \"precision\" >= 0.9 AND recall >= 0.5 AND f1 > 0 ORDER BY f1 DESC, threshold LIMIT 1), 0.85) AS t) SELECT CAST(t AS DOUBLE) AS auto_merge, greatest(CAST(0.5 AS DOUBLE), round(CAST(t AS DOUBLE) - 0.2, 9)) AS audit_low, CAST(t AS DOUBLE) AS audit_high FROM o",
-    "merge_groups": f"WITH RECURSIVE {GROUPS} SELECT record_id, component FROM g",
+    "merge_groups": f"WITH RECURSIVE {ALL_GROUPS} SELECT record_id, component FROM g",
     "merged_providers": f"WITH RECURSIVE {MERGED} SELECT canonical_id, component, norm_name, phone_norm, email_norm, address_line_1_norm, email_norm_all, merged_from, merge_count, original_sources FROM m",
     "merge_log": f"WITH RECURSIVE {MERGED} SELECT row_number() OVER (ORDER BY component) - 1 AS merge_group_id, canonical_id, merged_from AS merged_record_ids, merge_count FROM m",
     "merge_stats": f"WITH RECURSIVE {MERGED}, t AS (SELECT (SELECT count(*) FROM n) AS total, CAST(sum(merge_count) - count(*) AS BIGINT) AS cut, count(*) AS groups, avg(merge_count) AS a, max(merge_count) AS b FROM m) SELECT total AS original_count, total - cut AS merged_count, cut AS duplicate_reduction, round(cut * 100.0 / total, 6) AS duplicate_reduction_percentage, groups AS merge_groups, round(a, 6) AS avg_group_size, b AS max_group_size FROM t",
